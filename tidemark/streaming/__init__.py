@@ -1,0 +1,5 @@
+"""No streaming operators: every job is a batch job over bounded input.
+
+Incremental loading works with a batch high-water mark, see
+``tidemark.plans.incremental``.
+"""
