@@ -346,6 +346,12 @@ def first_purchases(events: DataFrame, orders: DataFrame, order_items: DataFrame
     )
 
 
+def funnel_pairs(touches: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Customer and product pairs that reached any step."""
+    pair = ["customer_id", "product_id"]
+    return touches.select(*pair).unionByName(purchases.select(*pair)).distinct()
+
+
 def fact_customer_funnel(
     events: DataFrame, sessions: DataFrame, orders: DataFrame, order_items: DataFrame, dims: Dims
 ) -> DataFrame:

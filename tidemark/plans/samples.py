@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.dimensions import build_static_dimensions, distinct_values
 from tidemark.operators.merge import merge_upsert
 from tidemark.plans import bronze, dims, facts, incremental, silver
+from tidemark.plans.pipeline import FULL, SINCE
 from tidemark.sources.datasets import DATASETS, dataset
 from tidemark.sources.samples import sample_delivery, sample_source
 
@@ -108,24 +109,7 @@ class Shop:
 
     def fact_rows(self, name: str) -> DataFrame:
         """Unnumbered rows of a full load."""
-        d = self.dims(facts.FACTS[name].dimensions)
-        u = self.usable
-        match name:
-            case "fact_order":
-                return facts.fact_order(u("orders"), u("order_items"), d)
-            case "fact_order_item":
-                return facts.fact_order_item(u("orders"), u("order_items"), d)
-            case "fact_web_event":
-                return facts.fact_web_event(u("events"), u("sessions"), d)
-            case "fact_review":
-                return facts.fact_review(u("reviews"), d)
-            case "fact_session":
-                return facts.fact_session(u("sessions"), d)
-            case "fact_customer_funnel":
-                return facts.fact_customer_funnel(
-                    u("events"), u("sessions"), u("orders"), u("order_items"), d
-                )
-        raise ValueError(f"unknown fact table {name!r}")
+        return FULL[name](self.usable, self.dims(facts.FACTS[name].dimensions))
 
     def fact(self, name: str) -> DataFrame:
         """A fact table after a full load."""
@@ -133,20 +117,7 @@ class Shop:
 
     def fact_delta(self, name: str) -> DataFrame:
         """Unnumbered rows of the increment since the first delivery."""
-        d = self.dims(facts.FACTS[name].dimensions)
-        u = self.usable
-        match name:
-            case "fact_order":
-                return incremental.fact_order_since(u("orders"), u("order_items"), d, FIRST_DATE)
-            case "fact_order_item":
-                return incremental.fact_order_item_since(u("orders"), u("order_items"), d, FIRST_DATE)
-            case "fact_web_event":
-                return incremental.fact_web_event_since(u("events"), u("sessions"), d, FIRST_DATE)
-            case "fact_review":
-                return incremental.fact_review_since(u("reviews"), d, FIRST_DATE)
-            case "fact_session":
-                return incremental.fact_session_since(u("sessions"), d, FIRST_DATE)
-        raise ValueError(f"no incremental load for {name!r}")
+        return SINCE[name](self.usable, self.dims(facts.FACTS[name].dimensions), FIRST_DATE)
 
     def silver_tables(self) -> dict[str, DataFrame]:
         return {name: self.silver(name) for name in DATASETS}
