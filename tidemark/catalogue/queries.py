@@ -438,7 +438,8 @@ def incremental_read_since(spark, folder):
 
 @query("latest_process_date")
 def latest_process_date(spark, folder):
-    return incremental.latest_process_date(Shop(spark, folder, 2).silver_tables().values())
+    shop = Shop(spark, folder, 2, stored=True)
+    return incremental.latest_process_date(shop.silver_tables().values())
 
 
 def _marks(shop: Shop) -> DataFrame:
@@ -453,7 +454,7 @@ def _marks(shop: Shop) -> DataFrame:
 
 def _watermarks(spark, folder) -> DataFrame:
     """Marks of the first delivery, then those of the second for what it brought."""
-    shop = Shop(spark, folder, 2)
+    shop = Shop(spark, folder, 2, stored=True)
     sent = _union(
         shop.silver_batch(name)
         .groupBy(F.lit(name).alias("pipeline_name"))
@@ -480,9 +481,9 @@ def watermark_read(spark, folder):
 def _incremental(name: str) -> Query:
     def run(spark, folder):
         fact = facts.FACTS[name]
-        shop = Shop(spark, folder, 2)
-        stored = shop.previous.fact(name)
-        merged = merge_preserving_keys(stored, shop.fact_delta(name), fact.keys, fact.surrogate)
+        shop = Shop(spark, folder, 2, stored=True)
+        held = shop.previous.fact(name)
+        merged = merge_preserving_keys(held, shop.fact_delta(name), fact.keys, fact.surrogate)
         return facts.contract(name, merged)
 
     return run
@@ -514,5 +515,7 @@ def pipeline_row_counts(spark, folder):
     lake = Lakehouse(spark, staging_path(spark, "pipeline"))
     for delivery in (1, 2):
         shop = Shop(spark, folder, delivery)
-        pipeline.run_pipeline(lake, shop.process_date, shop.process_ts, shop.source)
+        pipeline.run_pipeline(
+            lake, shop.process_date, shop.process_ts, shop.source, by_day=False
+        )
     return pipeline.row_counts(lake)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,8 +22,9 @@ def dedupe_latest(
     """
     first = [c for c in priority if c in df.columns]
     rest = [c for c in df.columns if c not in first and c not in keys]
-    order = [F.col(c).desc_nulls_last() for c in (*first, *rest)]
+    order = ", ".join(f"`{c}` DESC NULLS LAST" for c in (*first, *rest))
     if not order:
         return df.dropDuplicates(list(keys))
-    latest = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
+    group = ", ".join(f"`{k}`" for k in keys)
+    place = F.expr(f"row_number() OVER (PARTITION BY {group} ORDER BY {order})")
+    return df.withColumn("_place", place).where("_place = 1").drop("_place")

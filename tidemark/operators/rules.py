@@ -29,9 +29,9 @@ class Rule:
     code: str
     predicate: str
 
-    def column(self, process_date: str) -> Column:
-        text = self.predicate.format(process_date=f"DATE'{process_date}'")
-        return F.when(F.expr(text), F.lit(self.code))
+    def sql(self, process_date: str) -> str:
+        predicate = self.predicate.format(process_date=f"DATE'{process_date}'")
+        return f"CASE WHEN {predicate} THEN '{self.code}' END"
 
 
 @dataclass(frozen=True)
@@ -48,8 +48,8 @@ def rules(*pairs: tuple[str, str]) -> tuple[Rule, ...]:
 def _codes(rule_list: Sequence[Rule], process_date: str) -> Column:
     if not rule_list:
         return F.lit(None).cast("string")
-    fired = [rule.column(process_date) for rule in rule_list]
-    return F.nullif(F.concat_ws(",", *fired), F.lit(""))
+    fired = ", ".join(rule.sql(process_date) for rule in rule_list)
+    return F.expr(f"nullif(concat_ws(',', {fired}), '')")
 
 
 def validate(df: DataFrame, rule_set: RuleSet, process_date: str) -> DataFrame:

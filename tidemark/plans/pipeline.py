@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ STATIC = tuple(dims.STATIC_DIMENSIONS)
 DIMENSIONS = ("dim_date", *STATIC, "dim_customer", "dim_product")
 GOLD_TABLES = (*DIMENSIONS, *facts.FACTS)
 
-# Facts are stored by day where they have one: a merge then rewrites few partitions.
+# Facts that have a day are stored by day: a merge then rewrites few partitions.
 FACT_PARTITION = "date_key"
 
 
@@ -66,7 +67,9 @@ def clean_silver(lake: Lakehouse, process_date: str, name: str) -> None:
     if spec.snapshot:
         lake.overwrite(rows, "silver", name)
     else:
-        lake.merge(rows, "silver", name, spec.keys, partition_by="processed_date")
+        lake.merge(
+            rows, "silver", name, spec.keys, partition_by="processed_date", check_unique=False
+        )
 
 
 # --- Gold -----------------------------------------------------------------------
@@ -105,13 +108,19 @@ def update_watermark(lake: Lakehouse) -> None:
     lake.overwrite(incremental.upsert_watermark(held, mark), "gold", WATERMARK)
 
 
-def build_state(lake: Lakehouse, table: str) -> BuildState:
-    has_data = lake.has_rows("gold", table)
-    if not has_data:
+Marks = tuple[str | None, str | None]
+
+
+def read_marks(lake: Lakehouse) -> Marks:
+    """Newest Silver date and stored Gold mark."""
+    return latest_silver_date(lake), stored_watermark(lake)
+
+
+def build_state(lake: Lakehouse, table: str, marks: Marks | None = None) -> BuildState:
+    """What ``table`` needs; ``marks`` spares reading them once more."""
+    if not lake.has_rows("gold", table):
         return BuildState(full=True)
-    return incremental.resolve_build_state(
-        has_data, latest_silver_date(lake), stored_watermark(lake)
-    )
+    return incremental.resolve_build_state(True, *(marks or read_marks(lake)))
 
 
 def _dimension(lake: Lakehouse, table: str, process_date: str, process_ts: str) -> DataFrame:
@@ -152,7 +161,7 @@ SINCE: dict[str, Callable] = {
 }
 
 
-def _fact(lake: Lakehouse, table: str, state: BuildState) -> None:
+def _fact(lake: Lakehouse, table: str, state: BuildState, by_day: bool) -> None:
     fact = facts.FACTS[table]
     tables = {name: lake.read("gold", name) for name in fact.dimensions}
 
@@ -160,57 +169,91 @@ def _fact(lake: Lakehouse, table: str, state: BuildState) -> None:
         return incremental.usable(lake.read("silver", name), name)
 
     stored = (*fact.columns, *fact.extra)
-    by_day = FACT_PARTITION if FACT_PARTITION in fact.columns else None
+    partition = FACT_PARTITION if by_day and FACT_PARTITION in fact.columns else None
     if state.since is None or not fact.incremental:
         rows = facts.numbered(table, FULL[table](usable, tables))
-        lake.overwrite(rows, "gold", table, by_day)
+        lake.overwrite(rows, "gold", table, partition)
         return
     delta = SINCE[table](usable, tables, state.since)
     rows = resolve_surrogates(delta, lake.read("gold", table), fact.keys, fact.surrogate)
     if not rows.isEmpty():
-        lake.merge(rows.select(*stored), "gold", table, fact.keys, by_day)
+        lake.merge(rows.select(*stored), "gold", table, fact.keys, partition, check_unique=False)
 
 
-def build_gold(lake: Lakehouse, process_date: str, process_ts: str, table: str) -> BuildState:
-    """Build or refresh one Gold table; the result says what was done."""
+def build_gold(
+    lake: Lakehouse,
+    process_date: str,
+    process_ts: str,
+    table: str,
+    by_day: bool = True,
+    marks: Marks | None = None,
+) -> BuildState:
+    """Build or refresh one Gold table; the result says what was done.
+
+    ``by_day`` partitions the larger facts by date key. Turn it off for small shops,
+    where a folder per day costs more than a full rewrite.
+    """
     check_date(process_date)
     if table not in GOLD_TABLES:
         raise ValueError(f"unknown Gold table {table!r}; known: {', '.join(sorted(GOLD_TABLES))}")
-    state = build_state(lake, table)
+    state = build_state(lake, table, marks)
     if state.skip:
         return state
     if table in DIMENSIONS:
         lake.overwrite(_dimension(lake, table, process_date, process_ts), "gold", table)
     else:
-        _fact(lake, table, state)
+        _fact(lake, table, state, by_day)
     return state
 
 
+def _each(step: Callable[[str], object], names: Iterable[str], at_once: int) -> None:
+    """Run independent steps, several Spark jobs at a time; the first error is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(step, names))
+
+
 def run_pipeline(
     lake: Lakehouse,
     process_date: str,
     process_ts: str,
     source: Callable[[str], DataFrame],
     ingested_at: Column | None = None,
+    by_day: bool = True,
+    at_once: int = 4,
 ) -> None:
     """One run over all data sets: ``source`` gives each by name.
 
-    The mark advances last, so a run that fails is simply repeated.
+    Tables of one group do not depend on each other and are built side by side. The
+    mark advances last, so a run that fails is simply repeated.
     """
-    for name in DATASETS:
+
+    def ingest(name: str) -> None:
         ingest_to_bronze(lake, process_date, name, source(name), ingested_at)
-    for name in DATASETS:
+
+    def refine(name: str) -> None:
         clean_silver(lake, process_date, name)
-    for table in GOLD_TABLES:
-        build_gold(lake, process_date, process_ts, table)
+
+    _each(ingest, DATASETS, at_once)
+    _each(refine, DATASETS, at_once)
+    marks = read_marks(lake)
+
+    def build(table: str) -> None:
+        build_gold(lake, process_date, process_ts, table, by_day, marks)
+
+    for group in (("dim_date", *STATIC), ("dim_customer", "dim_product"), tuple(facts.FACTS)):
+        _each(build, group, at_once)
     update_watermark(lake)
 
 
-def run_csv_pipeline(lake: Lakehouse, process_date: str, process_ts: str, folder: str) -> None:
+def run_csv_pipeline(
+    lake: Lakehouse, process_date: str, process_ts: str, folder: str, by_day: bool = True
+) -> None:
     """``run_pipeline`` over a folder of CSV files."""
-    run_pipeline(
-        lake, process_date, process_ts, lambda name: read_csv(lake.spark, folder, f"{name}.csv")
-    )
+
+    def source(name: str) -> DataFrame:
+        return read_csv(lake.spark, folder, f"{name}.csv")
+
+    run_pipeline(lake, process_date, process_ts, source, by_day=by_day)
 
 
 def row_counts(lake: Lakehouse) -> DataFrame:

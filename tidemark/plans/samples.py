@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.dimensions import build_static_dimensions, distinct_values
 from tidemark.operators.merge import merge_upsert
+from tidemark.operators.staging import stage
 from tidemark.plans import bronze, dims, facts, incremental, silver
 from tidemark.plans.pipeline import FULL, SINCE
 from tidemark.sources.datasets import DATASETS, dataset
@@ -25,11 +26,19 @@ FIRST_TS, LAST_TS = "2024-01-15 00:00:00", "2024-01-31 00:00:00"
 class Shop:
     """Silver frames and Gold tables derived from the sample tables in a folder.
 
-    ``delivery`` None takes all rows in one load; 1 and 2 replay two deliveries.
+    ``delivery`` None takes all rows in one load; 1 and 2 replay two deliveries. With
+    ``stored``, Silver tables are written before they are used, as in a lakehouse:
+    Gold reads most of them several times.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, delivery: int | None = None):
-        self.spark, self.folder, self.delivery = spark, folder, delivery
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        delivery: int | None = None,
+        stored: bool = False,
+    ):
+        self.spark, self.folder, self.delivery, self.stored = spark, folder, delivery, stored
         self.process_date = FIRST_DATE if delivery == 1 else LAST_DATE
         self.process_ts = FIRST_TS if delivery == 1 else LAST_TS
         self._silver: dict[str, DataFrame] = {}
@@ -37,7 +46,9 @@ class Shop:
 
     @cached_property
     def previous(self) -> Shop | None:
-        return Shop(self.spark, self.folder, 1) if self.delivery == 2 else None
+        if self.delivery != 2:
+            return None
+        return Shop(self.spark, self.folder, 1, self.stored)
 
     def source(self, name: str) -> DataFrame:
         if self.delivery is None:
@@ -59,7 +70,7 @@ class Shop:
                 batch = merge_upsert(
                     self.previous.silver(name), batch, dataset(name).keys, check_unique=False
                 )
-            self._silver[name] = batch
+            self._silver[name] = stage(batch, f"silver-{name}") if self.stored else batch
         return self._silver[name]
 
     def usable(self, name: str) -> DataFrame:
