@@ -117,6 +117,46 @@ def test_staging_folder_comes_from_the_session(spark):
     assert staging.staging_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+class _Session:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.master, self.folder, self.sparkContext, self.conf = master, None, self, self
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_a_local_master_may_stage_in_a_temporary_folder():
+    local = _Session("local[2]")
+    assert staging.staging_root(local) == staging.staging_root(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.staging_root(_Session("yarn"))
+
+
+def test_tables_of_a_run_are_deleted_at_its_end(spark):
+    with staging.staging_run(spark):
+        with staging.staging_run(spark):
+            inside = staging.stage(spark.range(3))
+        path = inside.inputFiles()[0].removeprefix("file://")
+        assert inside.count() == 3 and os.path.exists(path)
+    assert not os.path.exists(path)
+    assert spark.conf.get(staging.RUN, None) is None
+
+
+def test_partition_values_come_from_the_listing(spark, lake):
+    assert lake.partition_values("silver", "t", "p") is None
+    lake.overwrite(_frame(spark, [(1, "a", 10), (2, "b", 20)]), "silver", "t", "p")
+    assert sorted(lake.partition_values("silver", "t", "p")) == ["10", "20"]
+    assert lake.partition_values("silver", "t", "v") is None
+
+
 # --- high-water mark --------------------------------------------------------------
 
 

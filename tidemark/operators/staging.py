@@ -10,29 +10,37 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Session setting that names the run whose tables are being staged.
+RUN = "tidemark.staging.run"
+
 
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    ``spark.checkpoint.dir`` names it. Only a local master may do without: there
-    all tasks share the machine, so a temporary folder is shared as well.
+    ``spark.checkpoint.dir``, or the context's checkpoint folder, names it. Only a
+    local master may do without: there all tasks share the machine, so a temporary
+    folder is shared as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """Fresh path below the staging root."""
-    return f"{staging_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    run = spark.conf.get(RUN, None)
+    folder = f"tidemark/{run}" if run else "tidemark"
+    return f"{staging_root(spark)}/{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -41,3 +49,23 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = staging_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_run(spark: SparkSession) -> Iterator[None]:
+    """Keep the tables staged inside together and delete them at the end.
+
+    For jobs whose results are written before the block ends. A nested block belongs
+    to the outer one.
+    """
+    if spark.conf.get(RUN, None):
+        yield
+        return
+    run = f"run-{uuid.uuid4().hex}"
+    spark.conf.set(RUN, run)
+    try:
+        yield
+    finally:
+        spark.conf.unset(RUN)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/tidemark/{run}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

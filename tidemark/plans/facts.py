@@ -331,10 +331,13 @@ def first_purchases(events: DataFrame, orders: DataFrame, order_items: DataFrame
     """First purchase date per customer and product, by way of matched orders.
 
     Which session bought does not matter here, so orders are only tested for a match
-    (semi join): no session and order pairs are produced.
+    (semi join): no session and order pairs are produced. The distinct step shares the
+    join's partitioning and folds a busy customer's events before they move.
     """
-    purchases = events.where("event_type = 'purchase'").select(
-        "customer_id", F.col("timestamp").alias("order_time")
+    purchases = (
+        events.where("event_type = 'purchase'")
+        .select("customer_id", F.col("timestamp").alias("order_time"))
+        .distinct()
     )
     bought = orders.select("order_id", "customer_id", "order_time", "order_date").join(
         purchases, ["customer_id", "order_time"], "left_semi"

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import resolve_surrogates
+from tidemark.operators.staging import staging_run
 from tidemark.plans import bronze, dims, facts, incremental, silver
 from tidemark.plans.incremental import PIPELINE_NAME, WATERMARK_SCHEMA, BuildState
 from tidemark.sources.datasets import DATASETS, dataset
@@ -84,12 +85,22 @@ def stored_watermark(lake: Lakehouse) -> str | None:
 
 
 def latest_silver_date(lake: Lakehouse) -> str | None:
-    tables = [lake.read_optional("silver", name) for name in DATASETS]
-    present = [t for t in tables if t is not None]
-    if not present:
-        return None
-    latest = incremental.latest_process_date(present).first()[0]
-    return None if latest is None else latest.isoformat()
+    """Newest processing date over the Silver tables.
+
+    Tables partitioned by it answer from their folder names; only snapshots are read.
+    """
+    dates: list[str] = []
+    unlisted: list[DataFrame] = []
+    for name in DATASETS:
+        listed = lake.partition_values("silver", name, "processed_date")
+        if listed is not None:
+            dates.extend(listed)
+        elif (table := lake.read_optional("silver", name)) is not None:
+            unlisted.append(table)
+    if unlisted:
+        latest = incremental.latest_process_date(unlisted).first()[0]
+        dates.extend([] if latest is None else [latest.isoformat()])
+    return max(dates, default=None)
 
 
 def update_watermark(lake: Lakehouse) -> None:
@@ -233,16 +244,16 @@ def run_pipeline(
     def refine(name: str) -> None:
         clean_silver(lake, process_date, name)
 
-    _each(ingest, DATASETS, at_once)
-    _each(refine, DATASETS, at_once)
-    marks = read_marks(lake)
-
     def build(table: str) -> None:
         build_gold(lake, process_date, process_ts, table, by_day, marks)
 
-    for group in (("dim_date", *STATIC), ("dim_customer", "dim_product"), tuple(facts.FACTS)):
-        _each(build, group, at_once)
-    update_watermark(lake)
+    with staging_run(lake.spark):
+        _each(ingest, DATASETS, at_once)
+        _each(refine, DATASETS, at_once)
+        marks = read_marks(lake)
+        for group in (("dim_date", *STATIC), ("dim_customer", "dim_product"), tuple(facts.FACTS)):
+            _each(build, group, at_once)
+        update_watermark(lake)
 
 
 def run_csv_pipeline(

@@ -17,7 +17,7 @@ from tidemark.operators.staging import stage
 from tidemark.plans import bronze, dims, facts, incremental, silver
 from tidemark.plans.pipeline import FULL, SINCE
 from tidemark.sources.datasets import DATASETS, dataset
-from tidemark.sources.samples import sample_delivery, sample_source
+from tidemark.sources.samples import Samples
 
 FIRST_DATE, LAST_DATE = "2024-01-15", "2024-01-31"
 FIRST_TS, LAST_TS = "2024-01-15 00:00:00", "2024-01-31 00:00:00"
@@ -37,8 +37,10 @@ class Shop:
         folder: str,
         delivery: int | None = None,
         stored: bool = False,
+        samples: Samples | None = None,
     ):
         self.spark, self.folder, self.delivery, self.stored = spark, folder, delivery, stored
+        self.samples = samples or Samples(spark, folder)
         self.process_date = FIRST_DATE if delivery == 1 else LAST_DATE
         self.process_ts = FIRST_TS if delivery == 1 else LAST_TS
         self._silver: dict[str, DataFrame] = {}
@@ -48,12 +50,10 @@ class Shop:
     def previous(self) -> Shop | None:
         if self.delivery != 2:
             return None
-        return Shop(self.spark, self.folder, 1, self.stored)
+        return Shop(self.spark, self.folder, 1, self.stored, self.samples)
 
     def source(self, name: str) -> DataFrame:
-        if self.delivery is None:
-            return sample_source(self.spark, self.folder, name)
-        return sample_delivery(self.spark, self.folder, name, self.delivery)
+        return self.samples.source(name, self.delivery)
 
     def bronze(self, name: str) -> DataFrame:
         return bronze.to_bronze(self.source(name), name, self.process_date)

@@ -163,14 +163,6 @@ SAMPLE_SQL = {
 }
 
 
-def sample_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One data set derived from the sample tables in ``folder``."""
-    text = SAMPLE_SQL[name](SPARK)
-    used = [t for t in TABLES if "{" + t + "}" in text]
-    frames = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in used}
-    return spark.sql(text, **frames)
-
-
 # Two deliveries of the same data sets, for incremental loads and history. Both
 # deliveries together hold every row. Placeholders name the data sets themselves.
 FIRST_DELIVERY = {
@@ -219,8 +211,27 @@ SECOND_DELIVERY = {
 }
 
 
-def sample_delivery(spark: SparkSession, folder: str, name: str, number: int) -> DataFrame:
-    """First or second delivery of one data set."""
-    text = (FIRST_DELIVERY if number == 1 else SECOND_DELIVERY)[name]
-    frames = {n: sample_source(spark, folder, n) for n in SAMPLE_SQL if "{" + n + "}" in text}
-    return spark.sql(text, **frames)
+class Samples:
+    """The sample tables of one folder and the data sets derived from them."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
+        self._sources: dict[tuple[str, int | None], DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
+
+    def source(self, name: str, delivery: int | None = None) -> DataFrame:
+        """One data set: all of it, or what the first or second delivery holds."""
+        if (name, delivery) not in self._sources:
+            if delivery is None:
+                text = SAMPLE_SQL[name](SPARK)
+                frames = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
+            else:
+                text = (FIRST_DELIVERY if delivery == 1 else SECOND_DELIVERY)[name]
+                frames = {n: self.source(n) for n in SAMPLE_SQL if "{" + n + "}" in text}
+            self._sources[name, delivery] = self.spark.sql(text, **frames)
+        return self._sources[name, delivery]
