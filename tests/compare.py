@@ -28,8 +28,9 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _normal(value):
+    """Values are compared exactly; NaN equals NaN and -0.0 equals 0.0."""
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6) + 0.0
+        return "nan" if math.isnan(value) else value + 0.0
     return value
 
 
