@@ -89,6 +89,16 @@ def test_merge_leaves_other_partitions_untouched(spark, lake):
     assert rows(lake.read("gold", "t").select("k", "v", "p")) == [(1, "A", 10), (2, "b", 20), (3, "c", 10)]
 
 
+def test_merge_of_new_partitions_only(spark, lake):
+    lake.merge(_frame(spark, [(1, "a", 10)]), "gold", "t", ["k"], "p", one_partition=True)
+    lake.merge(_frame(spark, [(2, "b", 20)]), "gold", "t", ["k"], "p")
+    lake.merge(_frame(spark, [(3, "c", 30), (4, "d", 40)]), "gold", "t", ["k"], "p")
+    expected = [(1, "a", 10), (2, "b", 20), (3, "c", 30), (4, "d", 40)]
+    assert rows(lake.read("gold", "t").select("k", "v", "p")) == expected
+    lake.merge(_frame(spark, [], "k int, v string, p int"), "gold", "t", ["k"], "p")
+    assert rows(lake.read("gold", "t").select("k", "v", "p")) == expected
+
+
 def test_ambiguous_merge_changes_nothing(spark, lake):
     lake.merge(_frame(spark, [(1, "a", 10)]), "gold", "t", ["k"], "p")
     for partition_by in (None, "p"):

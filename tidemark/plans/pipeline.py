@@ -69,7 +69,13 @@ def clean_silver(lake: Lakehouse, process_date: str, name: str) -> None:
         lake.overwrite(rows, "silver", name)
     else:
         lake.merge(
-            rows, "silver", name, spec.keys, partition_by="processed_date", check_unique=False
+            rows,
+            "silver",
+            name,
+            spec.keys,
+            partition_by="processed_date",
+            check_unique=False,
+            one_partition=True,
         )
 
 
