@@ -14,7 +14,7 @@ MOST_REPEATS = 3
 # Largest remainder, in words, that the dynamic programme works on: one bit per word.
 KNAPSACK_WORDS = 1 << 16
 # Documents of one source and length that are ranked together.
-RANKED_ROWS = 4096
+RANKED_ROWS = 512
 
 
 def targets_of(
@@ -98,7 +98,7 @@ def mix_sources(
 
     Only one row per source (totals) reaches the driver; lengths are fitted in one task per
     source, over one row per distinct length. Documents of one length and source are ranked
-    in buckets of about 4096, so a hot length is spread. NULL and empty texts have size 0 and
+    in buckets of about 512, so a hot length is spread. NULL and empty texts have size 0 and
     are never taken; NULL is a source of its own, and NULL ids take part. Rows that repeat
     an id are taken each on its own. An empty table gives no rows.
     """
