@@ -4,12 +4,14 @@ import datetime as dt
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.functions import (
     attribute_hash,
     blank_to_null,
     format_timestamp,
     iso_timestamp,
+    cents,
     money,
     parse_flag,
     seconds_between,
@@ -51,9 +53,15 @@ def test_seconds_between_ignores_daylight_saving(spark):
     assert df.select(seconds_between("b", "a")).first()[0] == -7201
 
 
-def test_money_out_of_range_is_null(spark):
-    df = spark.createDataFrame([(1.005,), (1e20,), (None,)], "x double").coalesce(1)
-    assert [v and float(v) for v in _column(df, money("x"))] == [1.005, None, None]
+def test_money_is_exact_or_null(spark):
+    df = spark.createDataFrame([(1.005,), (2e14,), (0.00004,), (1e20,), (1e-9,), (None,)], "x double").coalesce(1)
+    assert [v and float(v) for v in _column(df, money("x"))] == [1.005, 2e14, 0.00004, None, None, None]
+
+
+def test_no_amount_is_lost(spark):
+    df = spark.createDataFrame([(2e14, 1.0), (1e20, 2.0), (0.00004, None)], "x double, y double").coalesce(1)
+    got = _column(df, cents(money("x") - money("y"), F.col("x") - F.col("y")))
+    assert got == [199999999999999.0, 1e20, None]
 
 
 def test_attribute_hash(spark):

@@ -220,3 +220,49 @@ def test_names_are_checked(lake):
         pipeline.clean_silver(lake, "2024-01-31", "nothing")
     with pytest.raises(RuntimeError, match="silver.customers does not exist"):
         pipeline.build_gold(lake, "2024-01-31", "2024-01-31 00:00:00", "dim_customer")
+
+
+def test_empty_partitioned_tables_keep_their_schema(spark, lake):
+    empty = spark.sql("select 1 as id, date'2024-01-01' as day").limit(0)
+    lake.overwrite(empty, "silver", "t", "day")
+    assert lake.read("silver", "t").columns == ["id", "day"] and not lake.has_rows("silver", "t")
+    lake.replace_partition(empty.drop("day"), "bronze", "t", "day", "2024-01-01")
+    assert not lake.has_rows("bronze", "t")
+    lake.replace_partition(spark.sql("select 7 as id"), "bronze", "t", "day", "2024-01-01")
+    lake.replace_partition(empty.drop("day"), "bronze", "t", "day", "2024-01-01")
+    assert lake.read("bronze", "t").count() == 0
+
+
+def test_new_columns_survive_later_merges(spark, lake):
+    old, new = "select {} as id, 1 as v, 10 as p", "select {} as id, 2 as v, 10 as p, 'x' as w"
+    lake.merge(spark.sql(old.format(1)), "silver", "t", ["id"], "p")
+    lake.merge(spark.sql(new.format(2)), "silver", "t", ["id"], "p")
+    lake.merge(spark.sql(old.format(3)), "silver", "t", ["id"], "p")
+    rows = {r.id: (r.v, r.w) for r in lake.read("silver", "t").collect()}
+    assert rows == {1: (1, None), 2: (2, "x"), 3: (1, None)}
+
+
+def test_replays_change_nothing(spark, lake):
+    """Rows with NULL keys are not doubled, and an old day does not undo a newer one."""
+
+    def deliver(day, *rows):
+        df = spark.createDataFrame(rows, "id int, part int, v string")
+        df = df.selectExpr("*", f"date'{day}' as processed_date")
+        lake.merge(
+            df, "silver", "t", ["id", "part"], "processed_date", False, True, ordered_value=day
+        )
+
+    first = [(1, 1, "a"), (2, None, "b"), (3, 1, "c")]
+    deliver("2024-01-01", *first)
+    deliver("2024-01-02", (1, 1, "new"), (2, None, "b2"))
+    before = sorted(map(str, lake.read("silver", "t").collect()))
+    assert len(before) == 4
+    deliver("2024-01-01", *first)
+    deliver("2024-01-02", (1, 1, "new"), (2, None, "b2"))
+    assert sorted(map(str, lake.read("silver", "t").collect())) == before
+
+
+def test_a_missing_snapshot_is_refused(spark, lake):
+    lake.replace_partition(spark.sql("select 1 as customer_id"), "bronze", "customers", "ingest_date", "2024-01-01")
+    with pytest.raises(RuntimeError, match="no delivery of customers"):
+        pipeline.clean_silver(lake, "2024-01-02", "customers")

@@ -373,7 +373,8 @@ def scd2_change_detect(spark, folder):
 def order_costs(spark, folder):
     shop = Shop(spark, folder)
     costs = facts.order_costs(shop.usable("order_items"), shop.dims(["dim_product"]))
-    return costs.withColumn("order_cost_usd", F.col("order_cost_usd").cast("double"))
+    whole = F.col("order_cost_usd").cast("double") + F.col("inexact_cost_usd")
+    return costs.select("order_id", whole.alias("order_cost_usd"))
 
 
 def _fact(name: str) -> Query:

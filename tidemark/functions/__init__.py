@@ -3,6 +3,7 @@
 from tidemark.functions.columns import (
     attribute_hash,
     blank_to_null,
+    cents,
     format_timestamp,
     iso_timestamp,
     money,
@@ -13,6 +14,7 @@ from tidemark.functions.columns import (
 __all__ = [
     "attribute_hash",
     "blank_to_null",
+    "cents",
     "format_timestamp",
     "iso_timestamp",
     "money",

@@ -26,7 +26,7 @@ HASH_SEPARATOR = "||"
 # ----------------------------------------------------------------------------
 
 # Money enters and leaves as DOUBLE; arithmetic happens on this exact type.
-MONEY = "decimal(18,4)"
+MONEY = "decimal(22,6)"
 
 
 def _col(c: Column | str) -> Column:
@@ -66,8 +66,17 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Exact decimal view of an amount; amounts out of range become NULL."""
-    return _col(c).try_cast(MONEY)
+    """Exact decimal view of an amount, NULL where the type cannot hold it exactly.
+
+    Pair it with :func:`cents` or another DOUBLE fallback, so that no amount is lost.
+    """
+    exact = _col(c).try_cast(MONEY)
+    return F.when(exact.cast("double") == _col(c).cast("double"), exact)
+
+
+def cents(exact: Column, plain: Column) -> Column:
+    """DOUBLE result of exact arithmetic, rounded to cents; plain arithmetic where that is NULL."""
+    return F.coalesce(F.round(exact, 2).cast("double"), F.round(plain.cast("double"), 2))
 
 
 def attribute_hash(columns: Iterable[Column | str]) -> Column:

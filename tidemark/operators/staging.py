@@ -8,10 +8,13 @@ table, which is what decides later between broadcast and shuffle joins.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +27,7 @@ def staging_root(spark: SparkSession) -> str:
 
     ``spark.checkpoint.dir``, or the context's checkpoint folder, names it. Only a
     local master may do without: there all tasks share the machine, so a temporary
-    folder is shared as well.
+    folder is shared as well. It is one per process and removed when the process ends.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -32,8 +35,14 @@ def staging_root(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return context.getCheckpointDir().rstrip("/")
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

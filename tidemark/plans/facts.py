@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import format_timestamp, money, seconds_between
+from tidemark.functions import cents, format_timestamp, money, seconds_between
 from tidemark.operators.history import current_rows
 from tidemark.operators.keys import assign_keys
 from tidemark.operators.lookup import attach_dimension_key
@@ -180,6 +180,12 @@ def _item_cost():
     return F.coalesce(money("cost_usd"), F.lit(0)) * F.col("quantity")
 
 
+def _inexact_cost():
+    """Cost of items whose unit cost DECIMAL cannot hold, 0 for all others."""
+    rest = F.when(money("cost_usd").isNull(), F.col("cost_usd") * F.col("quantity"))
+    return F.coalesce(rest, F.lit(0.0))
+
+
 def events_with_customer(events: DataFrame, sessions: DataFrame) -> DataFrame:
     """Events of known sessions, with the session's customer."""
     return events.join(sessions.select("session_id", "customer_id"), "session_id")
@@ -191,7 +197,10 @@ def order_costs(order_items: DataFrame, dims: Dims) -> DataFrame:
         order_items.select("order_id", "product_id", "quantity")
         .join(_products(dims, "cost_usd"), "product_id", "left")
         .groupBy("order_id")
-        .agg(F.sum(_item_cost()).alias("order_cost_usd"))
+        .agg(
+            F.sum(_item_cost()).alias("order_cost_usd"),
+            F.sum(_inexact_cost()).alias("inexact_cost_usd"),
+        )
     )
 
 
@@ -203,7 +212,10 @@ def fact_order(orders: DataFrame, order_items: DataFrame, dims: Dims) -> DataFra
     rows = _date_key(rows, dims, "order_date")
     for member in ("country", "source", "device", "payment_method"):
         rows = _member_key(rows, dims, member, member)
-    margin = money("computed_total") - F.coalesce(F.col("order_cost_usd"), F.lit(0))
+    rest = F.coalesce(F.col("inexact_cost_usd"), F.lit(0.0))
+    cost = F.coalesce(F.col("order_cost_usd"), F.lit(0))
+    margin = F.when(rest == 0, money("computed_total") - cost)
+    plain = F.col("computed_total") - cost.cast("double") - rest
     return rows.select(
         "order_id",
         "customer_key",
@@ -215,7 +227,7 @@ def fact_order(orders: DataFrame, order_items: DataFrame, dims: Dims) -> DataFra
         "payment_method_key",
         "discount_pct",
         F.col("subtotal_usd").alias("gross_revenue_usd"),
-        F.round(margin, 2).cast("double").alias("net_margin_usd"),
+        cents(margin, plain).alias("net_margin_usd"),
     )
 
 
@@ -226,7 +238,9 @@ def fact_order_item(orders: DataFrame, order_items: DataFrame, dims: Dims) -> Da
         .join(_customer_keys(dims), "customer_id", "left")
         .join(_products(dims, "product_key", "cost_usd"), "product_id", "left")
     )
-    margin = money("computed_line_total") - _item_cost()
+    rest = _inexact_cost()
+    margin = F.when(rest == 0, money("computed_line_total") - _item_cost())
+    plain = F.col("computed_line_total") - _item_cost().cast("double") - rest
     return _date_key(rows, dims, "order_date").select(
         "order_id",
         "product_id",
@@ -236,7 +250,7 @@ def fact_order_item(orders: DataFrame, order_items: DataFrame, dims: Dims) -> Da
         "quantity",
         "unit_price_usd",
         F.col("computed_line_total").alias("gross_revenue_usd"),
-        F.round(margin, 2).cast("double").alias("gross_margin_usd"),
+        cents(margin, plain).alias("gross_margin_usd"),
     )
 
 

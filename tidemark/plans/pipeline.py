@@ -58,10 +58,14 @@ def read_bronze(lake: Lakehouse, name: str, ingest_date: str | None = None) -> D
 def clean_silver(lake: Lakehouse, process_date: str, name: str) -> None:
     """Clean one Bronze delivery into its Silver table.
 
-    Snapshots replace the table. Others are upserted into a table partitioned by
-    processing date, so that an incremental read prunes to the new partitions.
+    Snapshots replace the table; one that was never delivered is refused, since it would
+    empty the table. Others are upserted into a table partitioned by processing date, so
+    that an incremental read prunes to the new partitions. Cleaning a day again replaces
+    that day's rows, and an older day changes no row that a newer one wrote.
     """
     spec = dataset(name)
+    if spec.snapshot and process_date not in (lake.partition_values("bronze", name, "ingest_date") or ()):
+        raise RuntimeError(f"no delivery of {name} on {process_date}")
     rows = silver.to_silver(
         read_bronze(lake, name, check_date(process_date)), name, process_date
     )
@@ -76,6 +80,7 @@ def clean_silver(lake: Lakehouse, process_date: str, name: str) -> None:
             partition_by="processed_date",
             check_unique=False,
             one_partition=True,
+            ordered_value=process_date,
         )
 
 
@@ -109,9 +114,12 @@ def latest_silver_date(lake: Lakehouse) -> str | None:
     return max(dates, default=None)
 
 
-def update_watermark(lake: Lakehouse) -> None:
-    """Advance the mark to the newest Silver date, if there is one."""
-    latest = latest_silver_date(lake)
+def update_watermark(lake: Lakehouse, latest: str | None = None) -> None:
+    """Advance the mark to ``latest``, by default the newest Silver date, if there is one.
+
+    A run passes the date it has read up to: Silver written meanwhile is left to the next.
+    """
+    latest = latest or latest_silver_date(lake)
     if latest is None:
         return
     mark = lake.spark.range(1).select(
@@ -259,7 +267,8 @@ def run_pipeline(
         marks = read_marks(lake)
         for group in (("dim_date", *STATIC), ("dim_customer", "dim_product"), tuple(facts.FACTS)):
             _each(build, group, at_once)
-        update_watermark(lake)
+        if marks[0] is not None:
+            update_watermark(lake, marks[0])
 
 
 def run_csv_pipeline(

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import money
 
 
+def _total(c: str) -> Column:
+    """Sum of amounts, exact where DECIMAL holds them; the others are added as DOUBLE."""
+    exact, rest = F.sum(money(c)).cast("double"), F.sum(F.when(money(c).isNull(), F.col(c)))
+    return F.coalesce(exact + rest, exact, rest)
+
+
 def daily_revenue(fact_order: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Revenue and margin per day, in date order.
 
     Orders are added up per date key before the calendar is joined.
     """
     per_day = fact_order.groupBy("date_key").agg(
-        F.sum(money("gross_revenue_usd")).cast("double").alias("gross_revenue_usd"),
-        F.sum(money("net_margin_usd")).cast("double").alias("net_margin_usd"),
+        *(_total(c).alias(c) for c in ("gross_revenue_usd", "net_margin_usd")),
     )
     return (
         per_day.join(dim_date.select("date_key", "full_date"), "date_key")

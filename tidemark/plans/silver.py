@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import iso_timestamp, money, parse_flag
+from tidemark.functions import cents, iso_timestamp, money, parse_flag
 from tidemark.operators.columns import fill_unknown, safe_trim
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.operators.rules import RuleSet, add_status, rules, validate
@@ -13,7 +13,10 @@ from tidemark.plans.bronze import BRONZE_METADATA, valid_records
 from tidemark.sources.datasets import dataset
 
 # Amounts differ when they are more than one cent apart, compared exactly.
-_OFF = "abs(try_cast({a} as decimal(18,4)) - try_cast({b} as decimal(18,4))) > 0.01"
+_OFF = (
+    "coalesce(abs(try_cast({a} as decimal(30,10)) - try_cast({b} as decimal(30,10))) > 0.01,"
+    " abs({a} - {b}) > 0.01)"
+)
 
 
 def _differs(a: str, b: str) -> str:
@@ -179,14 +182,15 @@ def _computed(name: str) -> dict[str, Column]:
     """Amounts worked out again from their parts, exact to the cent."""
     if name == "products":
         exact = money("price_usd") - money("cost_usd")
-        return {"computed_margin": F.round(exact, 2).cast("double")}
+        return {"computed_margin": cents(exact, F.col("price_usd") - F.col("cost_usd"))}
     if name == "orders":
-        payable = F.lit(100) - F.col("discount_pct").try_cast("decimal(14,8)")
-        exact = money("subtotal_usd") * payable * F.lit(0.01).cast("decimal(2,2)")
-        return {"computed_total": F.round(exact, 2).cast("double")}
+        discount = F.col("discount_pct").try_cast("decimal(10,4)")
+        payable = F.when(discount.cast("double") == F.col("discount_pct"), F.lit(100) - discount)
+        exact = money("subtotal_usd") * (payable * F.lit(0.01).cast("decimal(2,2)"))
+        return {"computed_total": cents(exact, F.col("subtotal_usd") * (100 - F.col("discount_pct")) / 100)}
     if name == "order_items":
         exact = money("unit_price_usd") * F.col("quantity").try_cast("decimal(12,2)")
-        return {"computed_line_total": F.round(exact, 2).cast("double")}
+        return {"computed_line_total": cents(exact, F.col("unit_price_usd") * F.col("quantity"))}
     return {}
 
 

@@ -37,6 +37,10 @@ DUCKDB = Dialect(
 )
 
 
+# One session per user and calendar day, whatever period the events span.
+_SESSION = "(user_id * 100000000 + year(ts) * 10000 + month(ts) * 100 + day(ts))"
+
+
 def customers_sql(d: Dialect) -> str:
     return f"""
 select c_custkey as customer_id,
@@ -73,7 +77,7 @@ from (
 
 def orders_sql(d: Dialect) -> str:
     return f"""
-select o_orderkey as order_id, o_custkey as customer_id, {d.iso('o_orderdate')} as order_time,
+select 2 * o_orderkey as order_id, o_custkey as customer_id, {d.iso('o_orderdate')} as order_time,
   case when o_orderkey % 19 = 0 then null else concat(' ', o_orderpriority) end as payment_method,
   case when o_orderkey % 199 = 0 then null when o_orderkey % 211 = 0 then cast(150 as double)
     else cast(o_orderkey % 26 as double) end as discount_pct,
@@ -88,24 +92,24 @@ select o_orderkey as order_id, o_custkey as customer_id, {d.iso('o_orderdate')}
 from {d.table('orders')} join {d.table('customer')} on o_custkey = c_custkey
   join {d.table('nation')} on c_nationkey = n_nationkey
 union all
-select 10000000 + event_id, user_id, {d.iso('ts')}, 'card', cast(0 as double), value, value,
+select 2 * event_id + 1, user_id, {d.iso('ts')}, 'card', cast(0 as double), value, value,
   'Unknown', 'mobile', 'direct'
 from {d.table('events')} where event_type = 'purchase'"""
 
 
 def order_items_sql(d: Dialect) -> str:
     return f"""
-select l_orderkey as order_id, l_partkey as product_id, p_retailprice as unit_price_usd,
+select 2 * l_orderkey as order_id, l_partkey as product_id, p_retailprice as unit_price_usd,
   cast(case when l_orderkey % 50 = 0 and l_linenumber = 7 then -l_quantity else l_quantity end
     as int) as quantity,
   cast(cast(p_retailprice as decimal(18,2)) * cast(l_quantity as decimal(9,0))
     + (case when l_orderkey % 37 = 0 then 5 else 0 end) as double) as line_total_usd
 from {d.table('lineitem')} join {d.table('part')} on l_partkey = p_partkey
 union all
-select 10000000 + event_id, cast(1 + {d.prop_k} as bigint), value, 1, value
+select 2 * event_id + 1, cast(1 + {d.prop_k} as bigint), value, 1, value
 from {d.table('events')} where event_type = 'purchase'
 union all
-select 10000000 + event_id, cast(1 + ({d.prop_k} + 7) % 100 as bigint), value, 2, value * 2
+select 2 * event_id + 1, cast(1 + ({d.prop_k} + 7) % 100 as bigint), value, 2, value * 2
 from {d.table('events')} where event_type = 'purchase'"""
 
 
@@ -117,17 +121,17 @@ select session_id, customer_id, {d.iso('started')} as start_time,
     else 'organic' end as source,
   case when session_id % 13 = 0 then ' ' else nation end as country
 from (
-  select user_id * 100 + day(ts) as session_id, min(user_id) as customer_id,
+  select {_SESSION} as session_id, min(user_id) as customer_id,
     min(ts) as started, min(n_name) as nation
   from {d.table('events')} join {d.table('customer')} on user_id = c_custkey
     join {d.table('nation')} on c_nationkey = n_nationkey
-  group by user_id * 100 + day(ts)
+  group by {_SESSION}
 ) grouped"""
 
 
 def events_sql(d: Dialect) -> str:
     return f"""
-select event_id, user_id * 100 + day(ts) as session_id, {d.iso('ts')} as timestamp,
+select event_id, {_SESSION} as session_id, {d.iso('ts')} as timestamp,
   case event_type when 'view' then 'page_view' when 'click' then 'add_to_cart'
     when 'signup' then 'checkout' else event_type end as event_type,
   case when event_type in ('view', 'click') and event_id % 89 <> 0
@@ -143,13 +147,13 @@ from {d.table('events')}"""
 
 def reviews_sql(d: Dialect) -> str:
     return f"""
-select d.doc_id as review_id, (d.doc_id * 7) % 1000 as order_id, 1 + d.doc_id % 100 as product_id,
+select d.doc_id as review_id, d.doc_id * 14 as order_id, 1 + d.doc_id as product_id,
   cast(quality * 3 + toxic + d.doc_id % 2 as int) as rating,
   case when d.doc_id % 25 = 0 then '  ' else text end as review_text,
   case when d.doc_id % 33 = 0 then '2024/01/01'
     else concat('2024-01-', lpad(cast(1 + d.doc_id % 28 as string), 2, '0'), 'T08:00:00')
     end as review_time
-from {d.table('documents')} d join {d.table('labels')} l on d.doc_id = l.doc_id"""
+from {d.table('documents')} d left join {d.table('labels')} l on d.doc_id = l.doc_id"""
 
 
 SAMPLE_SQL = {
