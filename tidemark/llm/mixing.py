@@ -41,31 +41,37 @@ def targets_of(
     return [(s, n, float(fixed[i])) for i, (s, n) in enumerate(order)]
 
 
-def fit_budget(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many documents of each length to pick so that their words come nearest to ``budget``
-    from below.
-
-    Every length first gives its proportional share, rounded down. Longest first, whole
-    documents then shrink the remainder to knapsack size, and a bounded-knapsack dynamic
-    programme over what is left (one bit per reachable sum, counts split into powers of
-    two) fills it.
+def fit_budget(lengths: list[int], counts: list[int], budget: int, most: int = MOST_REPEATS) -> list[int]:
+    """How often to take documents of each length, 0 to ``most`` times their count, so that
+    their words come nearest to ``budget`` from below.
+
+    Every length first gives its proportional share, rounded down. Longest first, takings
+    then shrink the remainder to knapsack size, or are given back one by one until it is
+    that large or nothing is taken. A bounded-knapsack dynamic programme over what may still
+    be taken (one bit per reachable sum, counts split into powers of two) fills it: exactly
+    where any choice does, for budgets of knapsack size, and nearly always for larger ones.
     """
     total = sum(n * c for n, c in zip(lengths, counts))
-    budget = min(budget, total)
     if not total:
         return [0] * len(lengths)
-    picked = [c * budget // total for c in counts]
-    rest = budget - sum(n * k for n, k in zip(lengths, picked))
-    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-    for i in order:
+    budget = min(budget, most * total)
+    taken = [c * budget // total for c in counts]
+    rest = budget - sum(n * k for n, k in zip(lengths, taken))
+    order = sorted(range(len(lengths)), key=lambda i: lengths[i])
+    for i in reversed(order):
         if rest <= KNAPSACK_WORDS:
             break
-        more = min(counts[i] - picked[i], rest // lengths[i], -(-(rest - KNAPSACK_WORDS) // lengths[i]))
-        picked[i] += more
+        more = min(most * counts[i] - taken[i], rest // lengths[i], -(-(rest - KNAPSACK_WORDS) // lengths[i]))
+        taken[i] += more
         rest -= more * lengths[i]
+    while rest < KNAPSACK_WORDS and any(taken):
+        for i in order:
+            if taken[i] and rest < KNAPSACK_WORDS:
+                taken[i] -= 1
+                rest += lengths[i]
     reach, steps, mask = 1, [], (1 << (rest + 1)) - 1
-    for i in reversed(order):
-        left, power = min(counts[i] - picked[i], rest // lengths[i]), 1
+    for i in order:
+        left, power = min(most * counts[i] - taken[i], rest // lengths[i]), 1
         while left > 0 and not reach >> rest & 1:
             many = min(power, left)
             steps.append((i, many, reach))
@@ -74,9 +80,9 @@ def fit_budget(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     at = reach.bit_length() - 1
     for i, many, before in reversed(steps):
         if not before >> at & 1:
-            picked[i] += many
+            taken[i] += many
             at -= many * lengths[i]
-    return picked
+    return taken
 
 
 def mix_sources(
@@ -91,10 +97,10 @@ def mix_sources(
 
     Returns one row per input row: ``doc_id, version`` (hash of the text), ``source, size``
     (words), ``source_size, target`` (of its source), ``copies`` (0 to 3) and ``taken``
-    (``size * copies``). Sources whose target exceeds their size are taken whole as often
-    as it holds them; the rest of every target is fitted by :func:`fit_budget` to the
-    counts of documents by exact length, and the documents of each length are chosen in
-    the order of a seeded hash of their id, so reruns agree.
+    (``size * copies``). Every target is fitted by :func:`fit_budget` to the counts of
+    documents by exact length. What a length is to give is dealt evenly to its documents;
+    those that give one copy more are chosen in the order of a seeded hash of their id, so
+    reruns agree.
 
     Only one row per source (totals) reaches the driver; lengths are fitted in one task per
     source, over one row per distinct length. Documents of one length and source are ranked
@@ -115,31 +121,30 @@ def mix_sources(
     totals = [(r["source"], r["size"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()]
     plan = []
     for rank, (name, size, target) in enumerate(targets_of(totals, weights)):
-        whole = min(MOST_REPEATS, int(target // size)) if size else 0
-        rest = 0 if whole == MOST_REPEATS or not size else round(target) - whole * size
-        plan.append((rank, name, size, float(target), whole, max(0, rest)))
-    sources = spark.createDataFrame(
-        plan, "rank int, source string, source_size long, target double, whole int, rest long"
-    )
+        plan.append((rank, name, size, float(target), round(target)))
+    sources = spark.createDataFrame(plan, "rank int, source string, source_size long, target double, budget long")
     known = rows.join(
         F.broadcast(sources.withColumnRenamed("source", "name")), F.col("source").eqNullSafe(F.col("name"))
     ).drop("name")
-    counts = known.filter("size > 0").groupBy("rank", "rest", "size").agg(F.count(F.lit(1)).alias("n"))
+    counts = known.filter("size > 0").groupBy("rank", "budget", "size").agg(F.count(F.lit(1)).alias("n"))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("size")
         lengths, n = group["size"].tolist(), group["n"].tolist()
-        group["picked"] = fit_budget(lengths, n, int(group["rest"].iloc[0]))
-        return group[["rank", "size", "n", "picked"]]
+        taken = fit_budget(lengths, n, int(group["budget"].iloc[0]))
+        group["whole"] = [k // c for k, c in zip(taken, n)]
+        group["picked"] = [k % c for k, c in zip(taken, n)]
+        return group[["rank", "size", "n", "whole", "picked"]]
 
-    fitted = stage(counts.groupBy("rank").applyInPandas(fit, "rank int, size long, n long, picked long"), "fitted")
+    form = "rank int, size long, n long, whole int, picked long"
+    fitted = stage(counts.groupBy("rank").applyInPandas(fit, form), "fitted")
     order = F.xxhash64("doc_id", F.lit(seed))
     unit = order.cast("double") / float(2**64) + 0.5
     buckets = F.ceil(F.col("n") / RANKED_ROWS)
     placed = stage(
         known.filter("size > 0")
         .join(fitted, ["rank", "size"])
-        .withColumn("bucket", F.when((F.col("picked") > 0) & (F.col("picked") < F.col("n")), F.floor(unit * buckets))),
+        .withColumn("bucket", F.when(F.col("picked") > 0, F.floor(unit * buckets))),
         "placed",
     )
     # Whole buckets, in order, then part of one: only the rows of buckets are ranked.
@@ -156,7 +161,7 @@ def mix_sources(
         bucketed.join(quota, ["rank", "size", "bucket"])
         .withColumn("extra", (F.row_number().over(place) <= F.col("quota")).cast("int"))
     )
-    sure = placed.filter(F.col("bucket").isNull()).withColumn("extra", (F.col("picked") > 0).cast("int"))
+    sure = placed.filter(F.col("bucket").isNull()).withColumn("extra", F.lit(0))
     empty = known.filter("size = 0").withColumn("copies", F.lit(0))
     columns = ["doc_id", "version", "source", "size", "source_size", "target"]
     some = [part.select(*columns, (F.col("whole") + F.col("extra")).alias("copies")) for part in (sure, ranked)]

@@ -99,7 +99,7 @@ def train(
     for label, count in sorted(counts.items()):
         some = thinned(marks.filter(F.col("label") == label), "id", count, limit)
         chosen = some if chosen is None else chosen.union(some)
-    if chosen is None:
+    if len(counts) < 2:
         return {}
     sample = rows.join(F.broadcast(stage(chosen, "chosen")), F.col("doc_id") == F.col("id"))
 
@@ -137,8 +137,8 @@ def score_toxicity(
     ``labels`` has ``doc_id`` and ``toxic``; rows whose id is in fold 0 or NULL, and NULL
     labels, are never learned from; of several labels of an id the highest counts.
     ``predicted`` is 1 if score >= ``cut``. A text scores by the sum of the weights of its
-    distinct grams, so NULL and empty texts get the score of the bias alone. Without labels
-    every score is 0.5. Rows that repeat an id are scored each. The weights' table is
+    distinct grams, so NULL and empty texts get the score of the bias alone. Without labels of
+    both kinds nothing tells them apart, and every score is 0. Rows that repeat an id are scored each. The weights' table is
     bounded by the training sample and L1.
     """
     marks = labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")).filter("label is not null")
@@ -159,7 +159,7 @@ def score_toxicity(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in byte_slices(batches, "_text"):
-            score = [0.5 if model is None else model.score(t) for t in texts_of(batch, "_text")]
+            score = [0.0 if model is None else model.score(t) for t in texts_of(batch, "_text")]
             names = [*batch.schema.names[1:], "_score"]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score, pa.float64())], names)
 
