@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import byte_slices
-from tidemark.llm.tokens import encode_tokens
+from tidemark.llm.common import byte_slices, texts_of
+from tidemark.llm.tokens import encoder
 
 
 @dataclass(frozen=True)
@@ -163,9 +163,14 @@ def pack_sequences(
     """
     rows = df.select(
         F.col(doc_id).alias("doc_id"),
-        F.col(ids).alias("ids"),
+        F.col(ids).alias("body"),
         (F.lit(0) if loss_from is None else F.coalesce(F.col(loss_from), F.lit(0))).cast("long").alias("loss_from"),
     )
+    return _packed(rows, limits, lambda batch: batch.column("body").to_pylist())
+
+
+def _packed(rows: DataFrame, limits: Limits, ids_of: Callable[[pa.RecordBatch], list[bytes]]) -> DataFrame:
+    """Pack ``doc_id, body, loss_from`` rows; ``ids_of`` makes ids of a batch's bodies."""
     names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType)])
     for name in names[1:-1]:
@@ -182,9 +187,10 @@ def pack_sequences(
             packer.pieces, packer.bytes = [], 0
             return pa.RecordBatch.from_arrays(made, names)
 
-        for batch in byte_slices(batches, "ids", 8 << 20):
+        for batch in byte_slices(batches, "body", 1 << 20):
             id_type = batch.schema.field("doc_id").type
-            for doc, data, first in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids", "loss_from"))):
+            docs, firsts = batch.column("doc_id").to_pylist(), batch.column("loss_from").to_pylist()
+            for doc, data, first in zip(docs, ids_of(batch), firsts):
                 if data:
                     packer.add(Example(doc, data, 0, len(data) // 4, first))
             if packer.pieces:
@@ -199,6 +205,13 @@ def pack_sequences(
 def pack_documents(
     df: DataFrame, path: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text", limits: Limits = Limits()
 ) -> DataFrame:
-    """Encode whole texts, append ``end_id`` to each and pack them; NULL text counts as empty."""
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return pack_sequences(encode_tokens(rows, path, end_id=end_id), limits=limits)
+    """Encode whole texts, append ``end_id`` to each and pack them as :func:`pack_sequences` does.
+
+    NULL text counts as empty. The same task encodes and packs: ids need not pass through
+    the JVM in between, and one Python worker is enough.
+    """
+    end = np.array([end_id], "<u4").tobytes()
+    rows = df.select(
+        F.col(doc_id).alias("doc_id"), F.col(text).alias("body"), F.lit(0).cast("long").alias("loss_from")
+    )
+    return _packed(rows, limits, lambda batch: [ids + end for ids in encoder(path).encode(texts_of(batch, "body"))])

@@ -40,7 +40,7 @@ OTHER = re.compile(r"[^\t\n\r -~¡-ÿ]")
 # A blank between two visible characters always ends a piece.
 CUT = re.compile(r"[!-~¡-ÿ] [!-~¡-ÿ]")
 CHUNK = 1 << 20
-MEMO_PIECES = 500_000
+MEMO_PIECES = 250_000
 
 
 def safe_chunks(text: str, size: int = CHUNK) -> list[str]:
@@ -162,14 +162,6 @@ def count_tokens(
     return _encoded(df, text, path, column, "long", lambda ids: len(ids) // 4, slice_bytes)
 
 
-def encode_tokens(
-    df: DataFrame, path: str, text: str = "text", column: str = "ids", end_id: int | None = None, slice_bytes: int = 1 << 20
-) -> DataFrame:
-    """Replace the text column by its ids (binary, little-endian unsigned 32 bit), then ``end_id``."""
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-    return _encoded(df, text, path, column, "binary", lambda ids: ids + end, slice_bytes)
-
-
 def token_report(df: DataFrame, path: str, limit: int = 1024, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id, n_bytes, n_tokens, over_limit`` (more than ``limit`` tokens)."""
     sized: Column = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
