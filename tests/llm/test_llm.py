@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tidemark.llm import components as graph
 from tidemark.llm import mixing, queries, tokens
 from tidemark.llm.embeddings import near_embeddings
 from tidemark.llm.jaccard import choose_bands, similar_texts
@@ -121,6 +122,20 @@ def test_similar_texts_equal_brute_force(spark, sample, docs):
                 assert (r.n_links, r.component_id, r.kept) == want
 
 
+def test_components_of_chains_take_few_rounds(spark, monkeypatch):
+    chain = [(i, i + 1) for i in range(300)]
+    hub = [(1000 + i, 1000) for i in range(1, 50)]
+    links = [*chain, *hub, (2000, 2000), (7, 7), (2101, 2100), (2101, 2100), (None, 5), (3000, None)]
+    labelled, write = [], graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, label: labelled.append(label) or write(df, label))
+    rows = graph.connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    whole = [pair for pair in links if None not in pair]
+    nodes = sorted({n for pair in whole for n in pair})
+    assert {r["node"]: r["component"] for r in rows} == components(nodes, whole)
+    assert len(rows) == len(nodes)
+    assert labelled.count("moves") <= 20
+
+
 def test_bands_reach_the_recall():
     b, r = choose_bands(0.8, 0.999)
     assert 1 - (1 - 0.8**r) ** b >= 0.999 and b * r <= 128
