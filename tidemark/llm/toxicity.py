@@ -17,21 +17,28 @@ from tidemark.llm.ftrl import Ftrl, Rates
 from tidemark.operators.staging import stage
 
 TOKEN = re.compile(r"\w+")
+BETWEEN = re.compile(r"\W")
 BIAS = np.int64(0)
-# Texts are read in stretches of so many words, which bounds the memory of a very long text.
-STRETCH = 1 << 17
+# Texts are read in stretches of about so many characters, which bounds the memory of a very long text.
+STRETCH = 1 << 20
 
 
 def gram_hashes(text: str) -> Iterator[np.ndarray]:
-    """64-bit hashes of the words, word pairs and pairs that skip one word, by stretches."""
-    words = TOKEN.findall(text.lower())
-    for i in range(0, len(words), STRETCH):
-        part = words[i : i + STRETCH + 2]
-        h = mix64(np.fromiter(map(xxhash.xxh3_64_intdigest, part), np.uint64, len(part)))
+    """64-bit hashes of the words, word pairs and pairs that skip one word, by stretches.
+
+    A stretch ends between two words and begins with the last two words of the one before.
+    """
+    text, start, last = text.lower(), 0, []
+    while start < len(text):
+        gap = BETWEEN.search(text, start + STRETCH)
+        stop = gap.end() if gap else len(text)
+        words = last + TOKEN.findall(text, start, stop)
+        start, last = stop, words[-2:]
+        h = mix64(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
         with np.errstate(over="ignore"):
             pair = mix64(h[:-1] * np.uint64(3) + h[1:] * np.uint64(0x100000001B3))
             skip = mix64(h[:-2] * np.uint64(5) + h[2:] * np.uint64(0x10000000233))
-        yield np.concatenate([h[:STRETCH], pair[:STRETCH], skip[:STRETCH]]).view(np.int64)
+        yield np.concatenate([h, pair, skip]).view(np.int64)
 
 
 def features(text: str) -> np.ndarray:
@@ -65,17 +72,34 @@ class SparseWeights:
         return float(1 / (1 + np.exp(-np.clip(total, -35, 35))))
 
 
-def admitted(texts: list[str], least: int = 2, bits: int = 24) -> list[np.ndarray]:
-    """Per text, its distinct gram hashes that (but for chance) ``least`` of the texts hold.
+def admitted(texts: Sequence[str | None], least: int = 2, bits: int = 24) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The grams that (but for chance) ``least`` of the texts hold: ``names, at, ends``.
 
-    Texts are read twice, first to count grams by the low bits of their hashes in one small
-    table, so memory does not follow the number of different grams.
+    ``names`` are their sorted hashes and that of the bias; text ``i`` holds those at the
+    places ``at[ends[i]:ends[i + 1]]``. Texts are read twice, first to count grams by the low
+    bits of their hashes in one small table, so memory follows the admitted grams, in flat
+    arrays, and not the number of different ones.
     """
-    mask, seen = (1 << bits) - 1, np.zeros(1 << bits, np.uint8)
+    mask, seen, most = (1 << bits) - 1, np.zeros(1 << bits, np.uint8), 0
     for t in texts:
-        at = np.unique(features(t) & mask)
-        seen[at] += seen[at] < 255
-    return [f[seen[f & mask] >= least] for f in map(features, texts)]
+        grams = features(t or "")
+        low = np.unique(grams & mask)
+        seen[low] += seen[low] < 255
+        most += len(grams)
+    held, ends = np.empty(most, np.int64), np.zeros(len(texts) + 1, np.int64)  # only pages in use take memory
+    for i, t in enumerate(texts):
+        grams = features(t or "")
+        grams = grams[seen[grams & mask] >= least]
+        ends[i + 1] = ends[i] + len(grams)
+        held[ends[i] : ends[i + 1]] = grams
+    held = held[: ends[-1]]
+    names = np.append(held, BIAS)
+    names.sort()
+    names = names[np.append(True, names[1:] != names[:-1])]
+    at = np.empty(len(held), np.int32)
+    for i, j in zip(ends[:-1], ends[1:]):
+        at[i:j] = np.searchsorted(names, held[i:j])
+    return names, at, ends
 
 
 def train(
@@ -105,14 +129,14 @@ def train(
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("h", kind="stable")
-        sets = admitted([t or "" for t in group["text"]])
-        names = np.unique(np.concatenate([np.array([BIAS]), *sets]))
+        names, at, ends = admitted(group["text"].tolist())
+        bias = np.int32(np.searchsorted(names, BIAS))
         model = Ftrl(len(names), 1, rates)
-        at = [np.searchsorted(names, np.append(s, BIAS)) for s in sets]
         target = group["label"].to_numpy(np.float64)
         for epoch in range(epochs):
-            for i in np.random.default_rng(epoch).permutation(len(at)):
-                model.learn(at[i], np.ones(len(at[i])), target[i : i + 1])
+            for i in np.random.default_rng(epoch).permutation(len(target)):
+                grams = np.append(at[ends[i] : ends[i + 1]], bias)
+                model.learn(grams, np.ones(len(grams)), target[i : i + 1])
         w = model.weights()[:, 0]
         used = np.flatnonzero(w)
         return pd.DataFrame({"h": names[used], "w": w[used]})
