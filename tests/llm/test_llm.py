@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemark.llm import components as graph
-from tidemark.llm import mixing, queries, tokens
+from tidemark.llm import mixing, queries, tokens, toxicity
 from tidemark.llm.embeddings import near_embeddings
 from tidemark.llm.jaccard import choose_bands, similar_texts
 from tidemark.llm.language import identify_language
@@ -327,6 +327,24 @@ def test_classifiers_on_held_out_rows(spark, sample):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) >= 0.95
 
 
+def test_grams_do_not_depend_on_stretches(monkeypatch):
+    text = " ".join(f"w{i % 97} -- x{i % 31}" for i in range(4000))
+    whole = toxicity.features(text).tolist()
+    for size in (1, 7, 1000):
+        monkeypatch.setattr(toxicity, "STRETCH", size)
+        assert toxicity.features(text).tolist() == whole
+    assert not len(toxicity.features("")) and not len(toxicity.features(" -- "))
+
+
+def test_admitted_grams_are_shared_ones():
+    texts = ["one two three", None, "", "two three four", "five"]
+    names, at, ends = toxicity.admitted(texts)
+    sets = [set(toxicity.features(t or "").tolist()) for t in texts]
+    shared = sets[0] & sets[3]
+    assert len(shared) == 3 and set(names.tolist()) == shared | {0}
+    assert [set(names[at[i:j]].tolist()) for i, j in zip(ends, ends[1:])] == [s & shared for s in sets]
+
+
 def test_isotonic_values_grow():
     x, y = pool(np.arange(6.0), np.array([0, 2, 1, 3, 2, 4.0]), np.full(6, 4.0))
     assert (np.diff(y) >= 0).all() and (np.diff(x) > 0).all()
