@@ -268,8 +268,8 @@ def fact_web_event(events: DataFrame, sessions: DataFrame, dims: Dims) -> DataFr
     needed = events.select(
         "event_id", "session_id", "timestamp", "event_type", "product_id", "event_date"
     )
-    # Join and window share the partitioning by session.
-    timed = event_duration(events_with_customer(needed, sessions))
+    # Window and join share the partitioning by session; groups are measured without the join.
+    timed = events_with_customer(event_duration(needed), sessions)
     rows = timed.join(_customer_keys(dims), "customer_id", "left").join(
         _products(dims, "product_key"), "product_id", "left"
     )
