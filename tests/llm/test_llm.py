@@ -165,6 +165,22 @@ def test_embeddings_equal_brute_force(spark, sample):
     assert near_embeddings(df.limit(0)).collect() == []
 
 
+def test_embeddings_of_a_hot_group_and_many_cells_miss_no_link(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 64))
+    x[:500] = x[0] + 0.2 * rng.normal(size=(500, 64))  # near copies, a third of all
+    x[1300:] = x[600:800] + 0.3 * rng.normal(size=(200, 64))  # pairs
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    close = x @ x.T >= 0.9
+    np.fill_diagonal(close, False)
+    root = components(range(1500), list(zip(*np.nonzero(close))))
+    assert close.sum() > 200_000
+    for r in near_embeddings(df, cell_rows=5, block=32).collect():  # 300 cells
+        want = (close[r.vec_id].sum(), root[r.vec_id], root[r.vec_id] == r.vec_id)
+        assert (r.n_links, r.component_id, r.kept) == want
+
+
 def test_substrings_equal_sql(spark, sample):
     con = connect(sample)
     for name, sql in queries.SQL.items():

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import thinned
 from tidemark.llm.components import connected_components
-from tidemark.llm.jaccard import roots_of
 from tidemark.operators.staging import stage
 
 
 def _matrix(column: pa.Array | pd.Series) -> np.ndarray:
     """Unit vectors in double precision."""
-    x = np.array(column.to_pylist() if hasattr(column, "to_pylist") else column.tolist(), np.float64)
-    x = x.reshape(len(column), -1)
+    flat = column.flatten() if hasattr(column, "flatten") else column.tolist()
+    x = np.array(flat, np.float64).reshape(len(column), -1)
     x = x / np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300)  # no overflow in the squares
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -65,7 +64,6 @@ def near_embeddings(
     threshold: float = 0.9,
     cell_rows: int = 2000,
     most_cells: int = 4096,
-    probes: int = 4,
     sample: int = 50_000,
     rounds: int = 4,
     block: int = 1024,
@@ -75,16 +73,21 @@ def near_embeddings(
     Returns one row per input row: ``vec_id, n_links, component_id, kept``. Equal vectors
     become one node, counted. Spherical k-means (fitted on a bounded sample; about one cell
     per ``cell_rows`` vectors, at most ``most_cells``, which bounds the broadcast table of
-    centres) gives every vector its ``probes`` nearest cells, so that pairs across a border
-    meet as well; a pair that shares several cells is counted in the first. A cell of more
-    than ``block`` vectors is divided and its parts meet two at a time. Links are found by
-    matrix products in double precision; none below the threshold is reported, and the
-    test measures recall against all pairs. NULL, zero and empty vectors and those with
+    centres) gives every vector its nearest cell; of centres closer than the threshold's
+    angle one stays, so a dense group is one cell. Cells are divided into rings by the angle
+    to the centre, and rings gathered in buckets, inner ones first. A vector visits every
+    earlier bucket that has a ring whose angles lie within the threshold's angle of its own
+    angle to that centre: by the triangle inequality no link is missed, whatever the cells
+    are. Buckets are divided into parts that meet two at a time (matrix products in double
+    precision). Vectors without any clusters are far from all centres alike; there the
+    search is all pairs. NULL, zero and empty vectors and those with
     NULL or non-finite components link with nothing, and neither do vectors of different
     dimension; a NULL id has a NULL component and is kept. Rows that repeat an id count as
     one vector when equal. An empty table gives no rows.
     """
     source = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
+    single = df.schema[embedding].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if single else "array<double>"  # what is shuffled; exact either way
     limit = float(np.finfo(np.float64).max)
     good = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) <= limit)) & F.exists("v", lambda x: x != 0.0)
     key = F.md5(F.array_join(F.col("v").cast("array<string>"), ","))
@@ -99,10 +102,10 @@ def near_embeddings(
     )
     found = None
     for row in nodes.groupBy("d").count().collect():  # one row per dimension in use
-        unit = nodes.filter(F.col("d") == row["d"]).select("node", "copies", "v")
+        unit = nodes.filter(F.col("d") == row["d"]).select("node", "copies", F.col("v").cast(kind).alias("v"))
         cells = int(min(most_cells, max(1, round(row["count"] / cell_rows))))
         centres = fit_cells(unit, cells, sample, rounds, row["count"])
-        part = _linked(unit, centres, threshold, min(probes, len(centres)), block)
+        part = _linked(unit, centres, threshold, block)
         found = part if found is None else found.union(part)
     if found is None:
         found = df.sparkSession.createDataFrame([], "node long, links long, root long")
@@ -125,58 +128,149 @@ def near_embeddings(
     )
 
 
-def _linked(unit: DataFrame, centres: np.ndarray, threshold: float, probes: int, block: int) -> DataFrame:
-    """Rows ``node, links, root``: verified links, counted once, and one root per cell and node."""
-    fixed = unit.sparkSession.sparkContext.broadcast(centres)
+def _apart(centres: np.ndarray, angle: float) -> np.ndarray:
+    """Centres without those nearer than ``angle`` to one that stays: a dense group has one cell."""
+    stay = np.ones(len(centres), bool)
+    for i in range(len(centres)):
+        if stay[i]:
+            near = centres[i + 1 :] @ centres[i] > np.cos(angle)
+            stay[i + 1 :] &= ~near
+    return centres[stay]
+
+
+def _angles(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ centres.T, -1.0, 1.0))
+
+
+def _buckets(shells: list, side: int) -> tuple[dict, list]:
+    """Bucket of each shell, and the range of angles of each bucket and cell.
+
+    ``shells`` has ``cell, ring, rows, low, high``. Inner rings come first; neighbours share a
+    bucket up to ``side`` rows, and a larger shell has one of its own.
+    """
+    place, ranges, bucket, held = {}, {}, 0, 0
+    for r in sorted(shells, key=lambda r: (r["ring"], r["cell"])):
+        if held and held + r["rows"] > side:
+            bucket, held = bucket + 1, 0
+        held += r["rows"]
+        place[r["cell"], r["ring"]] = bucket
+        low, high = ranges.get((bucket, r["cell"]), (np.inf, -np.inf))
+        ranges[bucket, r["cell"]] = (min(low, r["low"]), max(high, r["high"]))
+    return place, [(b, c, low, high) for (b, c), (low, high) in sorted(ranges.items())]
+
+
+def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Roots (smallest members) after linking ``a`` with ``b``, pair by pair."""
+    while True:
+        a, b = root[a], root[b]
+        apart = a != b
+        if not apart.any():
+            return root
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _linked(unit: DataFrame, centres: np.ndarray, threshold: float, block: int) -> DataFrame:
+    """Rows ``node, links, root``: verified links, counted once, and one root per task and node."""
+    angle = float(np.arccos(np.clip(threshold, -1.0, 1.0)))
+    width = max(angle / 4, 0.05)  # of a ring
+    side = max(block, min(4 * block, (1 << 22) // centres.shape[1]))  # rows of a part: bounds a task's memory
+    context, kind = unit.sparkSession.sparkContext, unit.schema["v"].dataType.simpleString()
+    fixed = context.broadcast(_apart(centres, angle))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            product = _matrix(batch.column("v")) @ fixed.value.T
+            home = product.argmax(axis=1)
+            off = np.arccos(np.clip(product[np.arange(len(home)), home], -1.0, 1.0))
+            added = [pa.array(home.astype(np.int32)), pa.array((off / width).astype(np.int32)), pa.array(off)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *added], ["node", "copies", "v", "cell", "ring", "off"]
+            )
+
+    homes = stage(
+        unit.mapInArrow(assign, f"node long, copies long, v {kind}, cell int, ring int, off double"), "homes"
+    )
+    # One row per cell and ring: bounded by the numbers of centres and rings.
+    shells = homes.groupBy("cell", "ring").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("off").alias("low"), F.max("off").alias("high")
+    )
+    layout = context.broadcast(_buckets(shells.collect(), side))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, ranges = layout.value
+        bucket, cell = (np.array([r[i] for r in ranges], np.int64) for i in (0, 1))
+        low, high = (np.array([r[i] for r in ranges]) for i in (2, 3))
+        low, high = low - angle - 1e-6, high + angle + 1e-6
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        step = max(1, (1 << 21) // (len(ranges) + len(fixed.value)))
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = _matrix(batch.column("v"))
-            near = np.argpartition(-(x @ fixed.value.T), probes - 1, axis=1)[:, :probes]
-            cells = pa.array(list(np.sort(near, axis=1).astype(np.int32)), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, cells], ["node", "copies", "v", "cells"])
+            keys = zip(batch.column("cell").to_pylist(), batch.column("ring").to_pylist())
+            own = np.array([place[k] for k in keys], np.int64)
+            visits = []
+            for i in range(0, len(x), step):
+                to = _angles(x[i : i + step], fixed.value)[:, cell]
+                meets = np.logical_or.reduceat((to >= low) & (to <= high), starts, axis=1)
+                meets &= np.arange(len(starts)) < own[i : i + step, None]
+                visits += [np.flatnonzero(m).astype(np.int32) for m in meets]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(own.astype(np.int32)), pa.array(visits, pa.list_(pa.int32()))],
+                ["node", "copies", "v", "own", "visits"],
+            )
 
-    placed = stage(
-        unit.mapInArrow(assign, "node long, copies long, v array<double>, cells array<int>").withColumn(
-            "cell", F.explode("cells")
+    guests = stage(homes.mapInArrow(visit, f"node long, copies long, v {kind}, own int, visits array<int>"), "visits")
+    seats = F.concat(
+        F.array(F.struct(F.col("own").alias("bucket"), F.lit(True).alias("member"))),
+        F.transform("visits", lambda b: F.struct(b.alias("bucket"), F.lit(False).alias("member"))),
+    )
+    seated = guests.select("node", "copies", "v", F.explode(seats).alias("s")).select("node", "copies", "v", "s.*")
+    sizes = stage(
+        seated.groupBy("bucket").agg(
+            F.ceil(F.count_if("member") / side).cast("int").alias("inner"),
+            F.ceil(F.count_if(~F.col("member")) / side).cast("int").alias("outer"),
         ),
-        "placed",
+        "sizes",
     )
-    sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    # Parts of members meet all parts; parts of visitors meet those of members only.
     tasks = (
-        placed.join(F.broadcast(sizes), "cell")  # at most one row per centre
-        .withColumn("part", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumn("p", F.least("part", "other"))
-        .withColumn("q", F.greatest("part", "other"))
-        .select("cell", "p", "q", "part", "node", "copies", "v", "cells")
+        seated.join(sizes, "bucket")
+        .withColumn("h", F.xxhash64("node", F.lit(5)))
+        .withColumn("part", F.when(F.col("member"), F.pmod("h", "inner")).otherwise(F.col("inner") + F.pmod("h", "outer")))
+        .withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.col("inner") + F.when(F.col("member"), F.col("outer")).otherwise(0) - 1))
+        )
+        .withColumn("p", F.least("part", "other").cast("int"))
+        .withColumn("q", F.greatest("part", "other").cast("int"))
+        .select("bucket", "p", "q", (F.col("part") == F.col("p")).alias("first"), "node", "copies", "v")
     )
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        cell, p, q = key
+        _, p, q = key
         group = group.sort_values("node", kind="stable")
-        node = group["node"].to_numpy()
-        linked = np.zeros((len(node), len(node)), bool)
-        x = _matrix(group["v"])
-        for i in range(0, len(node), 256):
-            linked[i : i + 256] = x[i : i + 256] @ x.T >= threshold
-        linked &= linked.T
-        linked &= node[:, None] != node[None, :]
-        cells = np.array(group["cells"].tolist(), np.int64).reshape(len(node), -1)
-        fresh = linked.copy()
-        if p != q:
-            side = group["part"].to_numpy()
-            fresh &= side[:, None] != side[None, :]
-        a, b = np.nonzero(fresh)
-        if len(a):  # the first common cell counts the pair
-            both = np.where((cells[a][:, :, None] == cells[b][:, None, :]).any(axis=2), cells[a], np.iinfo(np.int64).max)
-            late = both.min(axis=1) != cell
-            fresh[a[late], b[late]] = False
-        count = fresh.astype(np.int64) @ group["copies"].to_numpy()
-        root = node[roots_of(linked)]
-        some = (count > 0) | (root != node)
-        return pd.DataFrame({"node": node[some], "links": count[some], "root": root[some]})
-
-    return tasks.groupBy("cell", "p", "q").applyInPandas(compare, "node long, links long, root long")
+        node, copies, x = group["node"].to_numpy(), group["copies"].to_numpy(), _matrix(group["v"])
+        count, root = np.zeros(len(node), np.int64), np.arange(len(node))
+        one, two = np.flatnonzero(group["first"]), np.flatnonzero(~group["first"])
+        if p == q:
+            two = one
+        right = x[two]
+        for i in range(0, len(one), 256):
+            rows = one[i : i + 256]
+            hits = x[rows] @ right.T >= threshold
+            if p == q:  # each pair of a part once
+                hits &= rows[:, None] < two[None, :]
+            if hits.any():
+                count[rows] += hits @ copies[two]
+                count[two] += copies[rows] @ hits
+                a, b = np.nonzero(hits)
+                root = _join(root, rows[a], two[b])
+        some = (count > 0) | (root != np.arange(len(node)))
+        return pd.DataFrame({"node": node[some], "links": count[some], "root": node[root[some]]})
+
+    return tasks.groupBy("bucket", "p", "q").applyInPandas(compare, "node long, links long, root long")
