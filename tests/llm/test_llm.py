@@ -329,6 +329,23 @@ def test_outliers_are_rejected_within_their_group(spark):
     } == set(range(0, 300, 30))
 
 
+def test_small_groups_are_judged_by_wider_estimates(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(240):
+        words = ["".join(rng.choice(list("abcdefgh"), rng.integers(3, 8))) for _ in range(rng.integers(60, 200))]
+        marks = " ".join(w + "###" for w in words) if i % 24 == 0 else " ".join(words)
+        # 20 sources of 10 rows in one language, a whole source, and two tiny languages.
+        lang, source = ("en", f"s{i % 20}") if i < 200 else ("en", "big") if i < 228 else ("de" if i < 234 else None, "s1")
+        rows.append((i, marks, lang, source))
+    rows.append((240, None, "en", "s1"))
+    for frame, planted in ((rows, set(range(0, 240, 24))), (rows[200:], {216})):
+        got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(frame, COLUMNS)).collect()}
+        assert sorted(got) == [r[0] for r in frame]
+        assert {i for i, r in got.items() if not r.kept and not r.base_failed} == planted
+        assert all((r.distance is None) == r.base_failed for r in got.values())
+
+
 def test_classifiers_on_held_out_rows(spark, sample):
     folder = sample.replace("sf0.001", "sf0.01")
     labels = {r.doc_id: r for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}

@@ -162,6 +162,37 @@ def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 3) -> Da
     )
 
 
+def _with_estimates(vectors: DataFrame, least_group: int) -> DataFrame:
+    """One row per estimate that a row has part in: ``g`` names it, ``judged`` marks the row's own.
+
+    All rows of a language are part of its estimate if it has a small group, and all rows
+    of the table are part of the widest one if a language is small.
+    """
+    sizes = stage(vectors.groupBy("l", "g").agg(F.count(F.lit(1)).alias("members")), "sizes")
+    languages = sizes.groupBy("l").agg(F.sum("members").alias("all"), F.min("members").alias("least"))
+    languages = languages.withColumn("wide", F.col("least") < least_group)
+    whole = languages.agg(F.coalesce(F.min("all") < least_group, F.lit(False)).alias("whole"))
+    levels = stage(
+        sizes.join(languages, "l")
+        .crossJoin(whole)  # one row
+        .select(
+            "g",
+            F.when(F.col("members") >= least_group, 0).when(F.col("all") >= least_group, 1).otherwise(2).alias("level"),
+            (F.col("wide") & (F.col("all") >= least_group)).alias("wide"),
+            "whole",
+        ),
+        "levels",
+    )
+    estimates = F.array(
+        F.when(F.col("level") == 0, F.struct(F.concat(F.lit("s"), F.col("g")).alias("g"), F.lit(True).alias("judged"))),
+        F.when(F.col("wide"), F.struct(F.concat(F.lit("l"), F.col("l")).alias("g"), (F.col("level") == 1).alias("judged"))),
+        F.when(F.col("whole"), F.struct(F.lit("all").alias("g"), (F.col("level") == 2).alias("judged"))),
+    )
+    placed = vectors.join(levels, "g").withColumn("e", F.explode(F.array_compact(estimates)))
+    kept = [c for c in vectors.columns if c not in ("g", "l")]
+    return placed.select(*kept, "e.g", "e.judged")
+
+
 def quality_rules(
     df: DataFrame,
     doc_id: str = "doc_id",
@@ -176,14 +207,16 @@ def quality_rules(
     Returns ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, distance``. Estimates are made per language and source from the rows
     that pass the base rules; a row is rejected when its squared robust distance exceeds
-    ``cut``. Groups of fewer than ``least_group`` such rows are kept whole: five statistics
-    cannot be estimated from them. NULL languages and sources form groups of their own; NULL
+    ``cut``. Five statistics cannot be estimated from a group of fewer than ``least_group``
+    such rows: these are judged by the estimate of their language over all sources, or, if
+    that has too few as well, by that of the whole table. NULL languages and sources form groups of their own; NULL
     and empty texts have no words and fail the base rules. Rows that repeat an id are judged
     each; an empty table gives no rows.
     """
     group = [F.coalesce(F.concat(F.lit("v"), F.col(c)), F.lit("n")) for c in (lang, source)]
     counted = df.select(
         F.col(doc_id).alias("doc_id"),
+        group[0].alias("l"),
         F.concat_ws("\u0001", *group).alias("g"),
         *(c.alias(n) for n, c in base_statistics(F.col(text)).items()),
     )
@@ -203,10 +236,9 @@ def quality_rules(
         F.sqrt(F.col("n_dup_lines") * 10 / words).alias("repeated_lines"),
         F.sqrt(F.col("n_repeat_words") / words).alias("repeated_words"),
     )
-    sizes = rows.filter("not base_failed").groupBy("g").agg(F.count(F.lit(1)).alias("members"))
-    judged = robust_distances(vectors).join(sizes, "g")
+    judged = robust_distances(_with_estimates(vectors, least_group)).filter("judged")
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    kept = (F.col("distance") <= cut) | (F.col("members") < least_group)
+    kept = F.col("distance") <= cut
     failed = rows.filter("base_failed").select(
         *columns, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance")
     )
