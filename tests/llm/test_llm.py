@@ -193,6 +193,34 @@ def test_repeats_go_and_first_places_stay(docs):
     assert rows[4].text is None and rows[5].text == "" and rows[8].text == "two words. "
 
 
+def test_pipeline_drops_passages_of_any_shape(spark):
+    def words(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    passages = {
+        "one sentence": words("a", 60) + ". ",
+        "two sentences": words("b", 30) + ". " + words("c", 30) + ". ",
+        "three sentences": words("d", 20) + ". " + words("e", 20) + "! " + words("f", 20) + "? ",
+        "one-word lines": "".join(f"line{i}\n" for i in range(60)),
+        "edges inside sentences": words("g", 10) + ". " + words("h", 40) + ". " + words("k", 10),
+    }
+    rows = []
+    for k, (name, passage) in enumerate(passages.items()):
+        for i in (2 * k, 2 * k + 1):
+            join = " " if name.startswith("edges") else ". "
+            rows.append((i, f"{words(f'x{i}y', 9)}{join}{passage}{words(f'z{i}y', 9)}.", "en", "a"))
+    rows += [(90, words("m", 60), "en", "a"), (91, words("m", 60), "en", "a")]  # exact copies of one sentence
+    df = spark.createDataFrame(rows, COLUMNS).withColumn("n_chars", F.length("text").cast("long"))
+    got = {r.doc_id: r.text for r in corpus_pipeline.substrings(spark, df, "").collect()}
+    for i, text, _, _ in rows:
+        if i % 2 == 0:
+            assert got[i] == text
+    assert got[91] == ""
+    for i in (1, 3, 5, 7):
+        assert got[i] == f"{words(f'x{i}y', 9)}. {words(f'z{i}y', 9)}."
+    assert "h0 " not in got[9] and "x9y0 " in got[9] and "z9y8" in got[9]
+
+
 TRICKY = [
     "  a  b   c ", "x\n y", "a \nb", "\t\ta\r\n b  ", "it's DON'T 'S !!'s x²3½ 12 345", "a<|endoftext|>b",
     "<|startoftext|> x", "ß ÀÉ ªº µ", "ok … — “x” 日本語 é é", "", "a" * 300, "word, " * 3000,

@@ -23,14 +23,53 @@ def split_sentences(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
 
 
+def _grown_spans(sentences: Column, run: int, least_words: int, alone_words: int) -> Column:
+    """Structs ``at, n, h``: runs grown to ``least_words``, and single long sentences.
+
+    Sentences without words are passed over, so no run needs more than ``least_words``.
+    """
+    spoken = F.filter(
+        F.transform(
+            sentences, lambda s, i: F.struct(i.alias("i"), s.alias("s"), F.regexp_count(s, F.lit(WORD)).alias("w"))
+        ),
+        lambda x: x["w"] > 0,
+    )
+
+    def grown(x: Column, i: Column) -> Column:
+        def span(k: int) -> Column:
+            return F.struct(
+                x[i]["i"].alias("at"),
+                (x[i + (k - 1)]["i"] - x[i]["i"] + 1).alias("n"),
+                F.xxhash64(*(x[i + j]["s"] for j in range(k))).alias("h"),
+            )
+
+        def fits(k: int) -> Column:
+            # Where the text ends the sum is not looked at.
+            return (i + k <= F.size(x)) & (sum((F.get(x, i + j)["w"] for j in range(k)), F.lit(0)) >= least_words)
+
+        whole = None
+        for k in range(run, max(run, least_words) + 1):
+            whole = F.when(fits(k), span(k)) if whole is None else whole.when(fits(k), span(k))
+        return F.array_compact(F.array(F.when(x[i]["w"] >= alone_words, span(1)), whole))
+
+    return _let(spoken, lambda x: F.flatten(F.transform(x, lambda _, i: grown(x, i))))
+
+
 def repeated_spans(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", run: int = 3, least_words: int = 6
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    run: int = 3,
+    least_words: int = 6,
+    alone_words: int | None = None,
 ) -> DataFrame:
-    """Rows ``doc_id, version, at``: spans that occur earlier in the corpus as well.
+    """Rows ``doc_id, version, at, n``: spans that occur earlier in the corpus as well.
 
     A span is ``run`` consecutive sentences (white space around each is ignored) with at
     least ``least_words`` words together; ``at`` is the 0-based number of its first sentence
-    in the text, ``version`` a hash of the text. The earliest occurrence, by document id and
+    in the text, ``n`` its length in sentences, ``version`` a hash of the text. With
+    ``alone_words``, a run with too few words grows until it has enough, and a sentence of so
+    many words is a span by itself. The earliest occurrence, by document id and
     position, is not returned; all others are. NULL ids come first.
     """
     sentences = F.transform(split_sentences(F.col(text)), lambda s: F.btrim(s, F.lit(" \t\r\n")))
@@ -40,6 +79,7 @@ def repeated_spans(
             F.sequence(F.lit(0), F.size(s) - run),
             lambda i: F.struct(
                 i.alias("at"),
+                F.lit(run).alias("n"),
                 F.when(
                     sum((F.regexp_count(s[i + k], F.lit(WORD)) for k in range(run)), F.lit(0)) >= least_words,
                     F.xxhash64(*(s[i + k] for k in range(run))),
@@ -48,22 +88,24 @@ def repeated_spans(
         ),
     )
     enough = F.regexp_count(F.col(text), F.lit(SENTENCE)) >= run
+    if alone_words is not None:
+        spans, enough = _grown_spans(sentences, run, least_words, alone_words), F.col(text).isNotNull()
     keys = stage(
         df.filter(enough)
         .select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.explode(spans).alias("s"))
-        .select("doc_id", "version", F.col("s.at").alias("at"), F.col("s.h").alias("h"))
+        .select("doc_id", "version", F.col("s.at").alias("at"), F.col("s.n").alias("n"), F.col("s.h").alias("h"))
         .filter(F.col("h").isNotNull()),
         "spans",
     )
     # The first place of every repeated hash; a hot passage is combined before the shuffle.
     firsts = (
         keys.groupBy("h")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "at")).alias("first"))
-        .filter("n > 1")
+        .agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "at")).alias("first"))
+        .filter("times > 1")
         .select("h", "first")
     )
     here = F.struct("doc_id", "at")
-    return keys.join(stage(firsts, "firsts"), "h").filter(here > F.col("first")).select("doc_id", "version", "at")
+    return keys.join(stage(firsts, "firsts"), "h").filter(here > F.col("first")).select("doc_id", "version", "at", "n")
 
 
 def drop_repeats(
@@ -73,18 +115,20 @@ def drop_repeats(
     run: int = 3,
     least_words: int = 6,
     carry: Sequence[str] = (),
+    alone_words: int | None = None,
 ) -> DataFrame:
     """Remove from every text the sentences that a repeated span covers.
 
     Returns ``doc_id, text, n_sentences, n_removed, removed`` (numbers of the removed
     sentences, ascending) and the columns of ``carry``, one row per input row. The text is what is left, in its old
     order and spacing, possibly empty. NULL text stays NULL, with 0 sentences; texts of
-    fewer than ``run`` sentences are unchanged. Rows that repeat an id with the same text
+    fewer than ``run`` sentences are unchanged without ``alone_words``. Rows that repeat an id with the same text
     are one document; with different texts, each loses its own sentences. An empty table gives no
     rows.
     """
-    spans = repeated_spans(df, doc_id, text, run, least_words)
-    starts = spans.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("at")).alias("starts"))
+    spans = repeated_spans(df, doc_id, text, run, least_words, alone_words)
+    longest = spans.groupBy("doc_id", "version", "at").agg(F.max("n").alias("n"))
+    starts = longest.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("starts"))
     rows = df.select(
         F.col(doc_id).alias("doc_id"),
         F.col(text).alias("text"),
@@ -95,18 +139,10 @@ def drop_repeats(
     joined = rows.join(
         hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("version") == F.col("hit_version")), "left"
     )
-    # Starts grow, so the sentences they newly cover follow from the gap to the one before.
-    covered = _let(
-        F.col("starts"),
-        lambda s: F.flatten(
-            F.transform(
-                s,
-                lambda at, i: F.sequence(
-                    F.when(i > 0, F.greatest(at, F.element_at(s, F.when(i > 0, i).otherwise(1)) + run)).otherwise(at),
-                    at + run - 1,
-                ),
-            )
-        ),
+    covered = F.array_sort(
+        F.array_distinct(
+            F.flatten(F.transform("starts", lambda x: F.sequence(x["at"], x["at"] + x["n"] - 1)))
+        )
     )
     parts = split_sentences(F.col("text"))
     # Kept stretches lie between covered ones: slices, not a look-up per sentence.
