@@ -221,6 +221,13 @@ def test_pipeline_drops_passages_of_any_shape(spark):
     assert "h0 " not in got[9] and "x9y0 " in got[9] and "z9y8" in got[9]
 
 
+def test_texts_under_one_id_keep_a_passage_once(spark):
+    passage = "One two three. Four five six. Seven eight nine. "
+    rows = [(d, passage + f"tail{i} of {d}.", "en", "a") for d in (None, 5) for i in (1, 2)]
+    left = [r.text for r in drop_repeats(spark.createDataFrame(rows, COLUMNS)).collect()]
+    assert sum(x.startswith(passage) for x in left) == 1 and len(left) == 4
+
+
 TRICKY = [
     "  a  b   c ", "x\n y", "a \nb", "\t\ta\r\n b  ", "it's DON'T 'S !!'s x²3½ 12 345", "a<|endoftext|>b",
     "<|startoftext|> x", "ß ÀÉ ªº µ", "ok … — “x” 日本語 é é", "", "a" * 300, "word, " * 3000,

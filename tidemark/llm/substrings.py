@@ -69,7 +69,7 @@ def repeated_spans(
     least ``least_words`` words together; ``at`` is the 0-based number of its first sentence
     in the text, ``n`` its length in sentences, ``version`` a hash of the text. With
     ``alone_words``, a run with too few words grows until it has enough, and a sentence of so
-    many words is a span by itself. The earliest occurrence, by document id and
+    many words is a span by itself. The earliest occurrence, by document id, version and
     position, is not returned; all others are. NULL ids come first.
     """
     sentences = F.transform(split_sentences(F.col(text)), lambda s: F.btrim(s, F.lit(" \t\r\n")))
@@ -100,11 +100,11 @@ def repeated_spans(
     # The first place of every repeated hash; a hot passage is combined before the shuffle.
     firsts = (
         keys.groupBy("h")
-        .agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "at")).alias("first"))
+        .agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "version", "at")).alias("first"))
         .filter("times > 1")
         .select("h", "first")
     )
-    here = F.struct("doc_id", "at")
+    here = F.struct("doc_id", "version", "at")
     return keys.join(stage(firsts, "firsts"), "h").filter(here > F.col("first")).select("doc_id", "version", "at", "n")
 
 
