@@ -37,10 +37,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts; NULL ids stay. Repeated rows stay with their document."""
-    kept = similar_texts(docs).filter("kept").select("doc_id").distinct()
-    some = docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
-    return some.union(docs.filter("doc_id is null").select(*COLUMNS))
+    """One document of each group of similar texts, once; texts without an id stay, once each."""
+    rows = docs.select(*COLUMNS, F.md5("text").alias("k"))
+    kept = similar_texts(docs, versions=True).filter("kept and doc_id is not null")
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("k").alias("kept_k")).distinct()
+    same = (F.col("doc_id") == F.col("kept_id")) & F.col("k").eqNullSafe(F.col("kept_k"))
+    some = rows.join(kept, same, "left_semi").union(rows.filter("doc_id is null"))
+    return some.groupBy("doc_id", "k").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -440,3 +440,11 @@ def test_pipeline_stages(spark, docs, labels, sample, tmp_path):
     empty = docs.limit(0)
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, empty, folder).collect() == []
+
+
+def test_near_duplicates_keep_each_id_and_text_once(spark):
+    other = " ".join(f"other{i}" for i in range(60))
+    rows = [(1, BASE), (5, BASE), (5, other), (5, other), (7, None), (7, None), (None, "x y"), (None, "x y"), (None, "z")]
+    df = spark.createDataFrame([(*r, "en", "a") for r in rows], COLUMNS).withColumn("n_chars", F.lit(1).cast("long"))
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, df, "").collect())
+    assert got == Counter([(1, BASE), (5, other), (7, None), (None, "x y"), (None, "z")])

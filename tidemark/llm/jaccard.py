@@ -113,6 +113,7 @@ def similar_texts(
     threshold: float = 0.8,
     recall: float = 0.999,
     block: int = 256,
+    versions: bool = False,
 ) -> DataFrame:
     """Group documents whose word n-gram sets have a Jaccard similarity of ``threshold`` or more.
 
@@ -134,7 +135,8 @@ def similar_texts(
     nature; the compared blocks are matrix products. Documents without words, NULL texts
     and NULL ids link with nothing; a NULL id has a NULL component and is kept. Rows that
     repeat an id with the same text are one document; with different texts, they are
-    compared under the one id. An empty table gives no rows.
+    compared under the one id. ``versions`` appends ``k``, the MD5 of the text (NULL for a
+    NULL id). An empty table gives no rows.
     """
     bands, rows = choose_bands(threshold, recall)
     source = df.select(
@@ -241,4 +243,5 @@ def similar_texts(
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        *(["k"] if versions else []),
     )
