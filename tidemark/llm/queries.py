@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.embeddings import near_embeddings
 from tidemark.llm.jaccard import similar_texts
 from tidemark.llm.language import identify_language
+from tidemark.llm.lines import drop_common_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality
 from tidemark.llm.rules import quality_rules
+from tidemark.llm.spelling import spelling_variants
+from tidemark.llm.statements import OP11_SQL, OP12_SQL
 from tidemark.llm.substrings import SENTENCE, drop_repeats
 from tidemark.llm.tokens import token_report
 from tidemark.llm.toxicity import score_toxicity
@@ -68,6 +71,14 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return identify_language(_table(spark, folder, "documents"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(_table(spark, folder, "documents"))
+
+
+def op12_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_common_lines(_table(spark, folder, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_rules,
         op10_language,
+        op11_spelling,
+        op12_lines,
     )
 }
 
@@ -111,4 +124,4 @@ select p.doc_id,
 from parts p left join gone g on p.doc_id = g.doc_id
 """
 
-SQL: dict[str, str] = {"op3_substrings": OP3_SQL}
+SQL: dict[str, str] = {"op3_substrings": OP3_SQL, "op11_spelling": OP11_SQL, "op12_lines": OP12_SQL}
