@@ -15,12 +15,14 @@ from tidemark.llm.lines import drop_common_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality
+from tidemark.llm.repair import damage_rows, repair_plans, repair_report
 from tidemark.llm.rules import quality_rules
 from tidemark.llm.spelling import spelling_variants
-from tidemark.llm.statements import OP11_SQL, OP12_SQL
+from tidemark.llm.statements import OP11_SQL, OP12_SQL, OP13_SQL
 from tidemark.llm.substrings import SENTENCE, drop_repeats
 from tidemark.llm.tokens import token_report
 from tidemark.llm.toxicity import score_toxicity
+from tidemark.operators.staging import stage
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -79,6 +81,11 @@ def op12_lines(spark: SparkSession, folder: str) -> DataFrame:
     return drop_common_lines(_table(spark, folder, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = damage_rows(_table(spark, folder, "conversations"))
+    return repair_report(rows, stage(repair_plans(rows), "plans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language,
         op11_spelling,
         op12_lines,
+        op13_repair,
     )
 }
 
@@ -124,4 +132,4 @@ select p.doc_id,
 from parts p left join gone g on p.doc_id = g.doc_id
 """
 
-SQL: dict[str, str] = {"op3_substrings": OP3_SQL, "op11_spelling": OP11_SQL, "op12_lines": OP12_SQL}
+SQL: dict[str, str] = {"op3_substrings": OP3_SQL, "op11_spelling": OP11_SQL, "op12_lines": OP12_SQL, "op13_repair": OP13_SQL}

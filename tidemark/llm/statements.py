@@ -86,3 +86,97 @@ select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
 from judged group by doc_id
 """
+
+
+def _op13() -> str:
+    def add(label: str, cost: str, edit: str) -> str:
+        return f"lpad((left({label}, 9)::bigint + {cost})::varchar, 9, '0') || substr({label}, 10) || '{edit}'"
+
+    # Labels: the least cost (9 digits) and audit by last speaker: none, system, user, assistant.
+    stay = [add(f"acc[{s}]", "4", "D") for s in (1, 2, 3, 4)]
+    extra = "x[3]::bigint"
+    keeps = {
+        2: [f"case when x[1] = 's' then {add('acc[1]', extra, 'K')} end"],
+        3: [f"case when x[1] = 'u' then {add(f'acc[{s}]', extra, 'K')} end" for s in (1, 2, 4)],
+        4: [f"case when x[1] = 'a' then {add('acc[3]', extra, 'K')} end"],
+    }
+    renames = {
+        3: [add(f"acc[{s}]", f"(3 + {extra})", "R") for s in (1, 2, 4)],
+        4: [add("acc[3]", f"(3 + {extra})", "R")],
+    }
+    taken = []
+    for s in (1, 2, 3, 4):
+        other = [f"case when x[2] = '0' then {e} end" for e in keeps.get(s, []) + renames.get(s, [])]
+        taken.append(f"least({', '.join([stay[s - 1], *other])})" if other else stay[s - 1])
+    users = ", ".join(add(f"acc[{s}]", "3", "I") for s in (1, 2, 4))
+    step = f"""case x[1]
+      when 'user' then [acc[1], acc[2], least(acc[3], {users}), acc[4]]
+      when 'assistant' then [acc[1], acc[2], acc[3], least(acc[4], {add("acc[3]", "3", "I")})]
+      else [{", ".join(taken)}] end"""
+    h = crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")
+    return rf"""
+with hashed as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {h} % 20 as h from conversations),
+damaged as (
+  select conv_id, turn, case h when 4 then 'user' else role end as role,
+    case h when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case h when 0 then 0 when 3 then 2 else 1 end)) as copy
+  from hashed
+),
+numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as nth,
+    trim(text, {WHITE}) as words
+  from damaged
+),
+judged as (
+  select *, left(role, 1) as initial,
+    case when words = '' then 'blank'
+      when min(nth) over (partition by conv_id, role, text) < nth then 'duplicate'
+      when right(words, 1) not in ('.', '!', '?') then 'truncated' end as fault,
+    lag(left(role, 1)) over (partition by conv_id order by nth) as before
+  from numbered
+),
+counted as (
+  select conv_id,
+    coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal,
+    [[repeat('0', 9), null, null, null]]
+      || flatten(list([['user'], ['assistant'],
+        [initial, case when fault in ('blank', 'duplicate') then '1' else '0' end,
+         case when fault = 'truncated' then '3' else '0' end]] order by nth))
+      || [['user'], ['assistant']] as steps
+  from judged group by conv_id
+),
+solved as (
+  select *, least(labels[1], labels[4]) as label
+  from (select *, list_reduce(steps, lambda acc, x: {step}) as labels from counted)
+),
+edits as (
+  select conv_id, label[10:][p] as edit, p,
+    count(*) filter (label[10:][p] <> 'I') over (partition by conv_id order by p) as nth,
+    count(*) filter (label[10:][p] <> 'D') over (partition by conv_id order by p) as kept
+  from (select conv_id, label, unnest(range(1, length(label) - 8)) as p from solved)
+),
+placed as (
+  select e.*, j.role, j.text,
+    max(case when kept = 1 and edit = 'K' and initial = 's' then 1 else 0 end) over (partition by e.conv_id) as has_system
+  from edits e left join judged j on e.conv_id = j.conv_id and e.nth = j.nth
+),
+repaired as (
+  select conv_id, sha256(string_agg(
+      case when edit = 'K' then role else case when (kept - has_system) % 2 = 1 then 'user' else 'assistant' end end
+      || ':' || case when edit = 'I' then '' else text end, chr(10) order by p)) as sha
+  from placed where edit <> 'D' group by conv_id
+)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  coalesce(left(label, 9)::bigint, 0) as cost, coalesce(substr(label, 10), '') as audit,
+  coalesce(sha, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+  left join solved s on c.conv_id = s.conv_id left join repaired r on c.conv_id = r.conv_id
+"""
+
+
+OP13_SQL = _op13()
