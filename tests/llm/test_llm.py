@@ -181,18 +181,55 @@ def test_embeddings_of_a_hot_group_and_many_cells_miss_no_link(spark):
         assert (r.n_links, r.component_id, r.kept) == want
 
 
-def test_substrings_equal_sql(spark, sample):
+def test_queries_equal_sql(spark, sample):
     con = connect(sample)
     for name, sql in queries.SQL.items():
         assert differences(queries.QUERIES[name](spark, sample), con, sql) == []
 
 
 def test_repeats_go_and_first_places_stay(docs):
-    rows = {r.doc_id: r for r in drop_repeats(docs, run=2, least_words=4).collect()}
+    rows = {r.doc_id: r for r in drop_repeats(docs, least_words=3).collect()}
     assert rows[1].text == AWKWARD[0][1] and rows[2].text == "" and rows[3].n_removed == 2
     assert rows[4].text is None and rows[5].text == "" and rows[8].text == "two words. "
 
 
+def plain_repeats(rows, least_words):
+    """Removed sentences of every (id, text), by comparing whole runs."""
+    texts = sorted({(d, t) for d, t in rows if t is not None}, key=str)
+    places = defaultdict(set)
+    for d, t in texts:
+        parts = re.findall(r"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+", t)
+        spoken = [(i, p.strip(" \t\r\n")) for i, p in enumerate(parts) if re.search(r"[^\x20\x09-\x0D]", p)]
+        for a in range(len(spoken)):
+            for b in range(a + 1, len(spoken) + 1):
+                if sum(len(re.findall(r"[^\x20\x09-\x0D]+", p)) for _, p in spoken[a:b]) >= least_words:
+                    places[tuple(p for _, p in spoken[a:b])].add((d, t, spoken[a][0], spoken[b - 1][0]))
+                    break
+    gone = defaultdict(set)
+    for held in places.values():
+        for d, t, first, last in held:
+            # No two texts of these rows share an id.
+            if any((e, f) < (d, first) for e, _, f, _ in held):
+                gone[d] |= set(range(first, last + 1))
+    return gone
+
+
+def test_repeats_equal_a_plain_version(spark):
+    rng = np.random.default_rng(11)
+    pool = [" ".join(rng.choice(list("abcd"), rng.integers(0, 9))) for _ in range(12)]
+    marks = [". ", "!\n", "? ", "\n\n", " ... ", ".\t"]
+    rows = [
+        (d, "".join(pool[rng.integers(12)] + marks[rng.integers(6)] for _ in range(rng.integers(0, 14)))) for d in range(80)
+    ]
+    rows += [(100, None), (101, ""), (102, "a " * 30), (103, "a " * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for least in (1, 6, 20):
+        want = plain_repeats(rows, least)
+        assert sum(map(len, want.values())) > (20 if least < 20 else 0)
+        for r in drop_repeats(df, least_words=least).collect():
+            assert r.removed == sorted(want[r.doc_id]), r.doc_id
+
+
 def test_pipeline_drops_passages_of_any_shape(spark):
     def words(name, n):
         return " ".join(f"{name}{i}" for i in range(n))
@@ -224,7 +261,7 @@ def test_pipeline_drops_passages_of_any_shape(spark):
 def test_texts_under_one_id_keep_a_passage_once(spark):
     passage = "One two three. Four five six. Seven eight nine. "
     rows = [(d, passage + f"tail{i} of {d}.", "en", "a") for d in (None, 5) for i in (1, 2)]
-    left = [r.text for r in drop_repeats(spark.createDataFrame(rows, COLUMNS)).collect()]
+    left = [r.text for r in drop_repeats(spark.createDataFrame(rows, COLUMNS), least_words=9).collect()]
     assert sum(x.startswith(passage) for x in left) == 1 and len(left) == 4
 
 

@@ -18,8 +18,8 @@ from tidemark.llm.quality import score_quality
 from tidemark.llm.repair import damage_rows, repair_plans, repair_report
 from tidemark.llm.rules import quality_rules
 from tidemark.llm.spelling import spelling_variants
-from tidemark.llm.statements import OP11_SQL, OP12_SQL, OP13_SQL
-from tidemark.llm.substrings import SENTENCE, drop_repeats
+from tidemark.llm.statements import OP3_SQL, OP11_SQL, OP12_SQL, OP13_SQL
+from tidemark.llm.substrings import drop_repeats
 from tidemark.llm.tokens import token_report
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.operators.staging import stage
@@ -105,31 +105,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-OP3_SQL = rf"""
-with parts as (
-  select doc_id, text, regexp_extract_all(text, '{SENTENCE.replace(chr(92) + "n", chr(10)).replace(chr(92) + "t", chr(9)).replace(chr(92) + "r", chr(13))}') as s
-  from documents
-),
-spans as (
-  select doc_id, i as start,
-    list_transform(s[i : i + 2], lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))) as run
-  from (select doc_id, s, unnest(range(1, len(s) - 1)) as i from parts where len(s) >= 3)
-),
-counted as (
-  select *, row_number() over (partition by run order by doc_id, start) as nth
-  from spans
-  where len(regexp_extract_all(array_to_string(run, ' '), '[^\x20\x09-\x0D]+')) >= 6
-),
-covered as (
-  select distinct doc_id, start + k as i
-  from (select doc_id, start, unnest([0, 1, 2]) as k from counted where nth > 1)
-),
-gone as (select doc_id, list(i) as removed, count(*) as n from covered group by doc_id)
-select p.doc_id,
-  case when n is null then text else array_to_string(
-    list_transform(list_filter(range(1, len(s) + 1), lambda i: not list_contains(removed, i)), lambda i: s[i]), '') end as text,
-  coalesce(len(s), 0) as n_sentences, coalesce(n, 0) as n_removed
-from parts p left join gone g on p.doc_id = g.doc_id
-"""
-
 SQL: dict[str, str] = {"op3_substrings": OP3_SQL, "op11_spelling": OP11_SQL, "op12_lines": OP12_SQL, "op13_repair": OP13_SQL}

@@ -6,6 +6,43 @@ WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
+OP3_SQL = r"""
+with parts as (
+  select doc_id, text, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+') as s from documents
+),
+sentences as (
+  select doc_id, i, s[i] as sentence, len(regexp_extract_all(s[i], '[^\x20\x09-\x0D]+')) as words
+  from (select doc_id, s, unnest(range(1, len(s) + 1)) as i from parts)
+),
+spoken as (
+  select *, row_number() over w as nth, sum(words) over w as upto,
+    trim(sentence, ' ' || chr(9) || chr(10) || chr(13)) as said
+  from sentences where words > 0 window w as (partition by doc_id order by i)
+),
+-- From every sentence, the first one by which 20 words are reached.
+spans as (
+  select a.doc_id, a.i as first, b.i as last, a.nth as nth_first, b.nth as nth_last
+  from (select *, upto - words + 20 as wanted from spoken) a
+    asof join spoken b on a.doc_id = b.doc_id and b.upto >= a.wanted
+),
+texts as (select doc_id, list(said order by nth) as said from spoken group by doc_id),
+ranked as (
+  select doc_id, first, last,
+    row_number() over (partition by said[nth_first : nth_last] order by doc_id, first) as occurrence
+  from spans join texts using (doc_id)
+),
+covered as (
+  select distinct doc_id, unnest(range(first, last + 1)) as i from ranked where occurrence > 1
+),
+gone as (select doc_id, list(i) as removed, count(*) as n from covered group by doc_id)
+select p.doc_id,
+  case when n is null then text else array_to_string(
+    list_transform(list_filter(range(1, len(s) + 1), lambda i: not list_contains(removed, i)), lambda i: s[i]), '') end as text,
+  coalesce(len(s), 0) as n_sentences, coalesce(n, 0) as n_removed
+from parts p left join gone g on p.doc_id = g.doc_id
+"""
+
+
 def crc32(text: str) -> str:
     """The unsigned crc32 of a VARCHAR's UTF-8, half a byte at a time."""
 

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD
+from tidemark.llm.common import byte_slices, texts_of, words_of
 from tidemark.operators.staging import stage
 
 # A sentence keeps its end marks and the white space behind them, so sentences tile the text.
 SENTENCE = r"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+"
+PARTS = re.compile(SENTENCE)
+EDGES = " \t\r\n"
+# Words that a span has at least. Shorter repeats are phrases that independent texts share.
+LEAST_WORDS = 20
 
 
 def _let(value: Column, body) -> Column:
@@ -23,80 +31,53 @@ def split_sentences(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
 
 
-def _grown_spans(sentences: Column, run: int, least_words: int, alone_words: int) -> Column:
-    """Structs ``at, n, h``: runs grown to ``least_words``, and single long sentences.
+def spans_of(text: str, least_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of a text: number of the first sentence, length in sentences, hash.
 
-    Sentences without words are passed over, so no run needs more than ``least_words``.
+    From every sentence with a word, the shortest run that has ``least_words`` words; none where
+    the text ends before. Sentences without a word neither begin a run nor count in its hash.
     """
-    spoken = F.filter(
-        F.transform(
-            sentences, lambda s, i: F.struct(i.alias("i"), s.alias("s"), F.regexp_count(s, F.lit(WORD)).alias("w"))
-        ),
-        lambda x: x["w"] > 0,
-    )
-
-    def grown(x: Column, i: Column) -> Column:
-        def span(k: int) -> Column:
-            return F.struct(
-                x[i]["i"].alias("at"),
-                (x[i + (k - 1)]["i"] - x[i]["i"] + 1).alias("n"),
-                F.xxhash64(*(x[i + j]["s"] for j in range(k))).alias("h"),
-            )
-
-        def fits(k: int) -> Column:
-            # Where the text ends the sum is not looked at.
-            return (i + k <= F.size(x)) & (sum((F.get(x, i + j)["w"] for j in range(k)), F.lit(0)) >= least_words)
-
-        whole = None
-        for k in range(run, max(run, least_words) + 1):
-            whole = F.when(fits(k), span(k)) if whole is None else whole.when(fits(k), span(k))
-        return F.array_compact(F.array(F.when(x[i]["w"] >= alone_words, span(1)), whole))
-
-    return _let(spoken, lambda x: F.flatten(F.transform(x, lambda _, i: grown(x, i))))
+    spoken, words, hashes = [], [], []
+    for i, s in enumerate(PARTS.findall(text)):
+        n = len(words_of(s))
+        if n:
+            spoken.append(i)
+            words.append(n)
+            hashes.append(xxhash.xxh3_64_digest(s.strip(EDGES).encode()))
+    until = np.cumsum([0, *words])
+    last = np.searchsorted(until, until[:-1] + least_words)  # sentences up to here have enough words
+    first = np.flatnonzero(last < len(until))
+    last = last[first]
+    place, whole = np.array(spoken, np.int64), b"".join(hashes)
+    runs = [xxhash.xxh3_64_intdigest(whole[8 * i : 8 * j]) for i, j in zip(first.tolist(), last.tolist())]
+    return place[first], place[last - 1] - place[first] + 1, np.array(runs, np.uint64).view(np.int64)
 
 
 def repeated_spans(
-    df: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    run: int = 3,
-    least_words: int = 6,
-    alone_words: int | None = None,
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS
 ) -> DataFrame:
     """Rows ``doc_id, version, at, n``: spans that occur earlier in the corpus as well.
 
-    A span is ``run`` consecutive sentences (white space around each is ignored) with at
-    least ``least_words`` words together; ``at`` is the 0-based number of its first sentence
-    in the text, ``n`` its length in sentences, ``version`` a hash of the text. With
-    ``alone_words``, a run with too few words grows until it has enough, and a sentence of so
-    many words is a span by itself. The earliest occurrence, by document id, version and
+    A span is the shortest run of consecutive sentences from some sentence on that has ``least_words``
+    words (white space around each sentence is ignored; a sentence of so many words is a span by itself).
+    ``at`` is the 0-based number of its first sentence in the text, ``n`` its length in sentences,
+    ``version`` a hash of the text. The earliest occurrence, by document id, version and
     position, is not returned; all others are. NULL ids come first.
     """
-    sentences = F.transform(split_sentences(F.col(text)), lambda s: F.btrim(s, F.lit(" \t\r\n")))
-    spans = _let(
-        sentences,
-        lambda s: F.transform(
-            F.sequence(F.lit(0), F.size(s) - run),
-            lambda i: F.struct(
-                i.alias("at"),
-                F.lit(run).alias("n"),
-                F.when(
-                    sum((F.regexp_count(s[i + k], F.lit(WORD)) for k in range(run)), F.lit(0)) >= least_words,
-                    F.xxhash64(*(s[i + k] for k in range(run))),
-                ).alias("h"),
-            ),
-        ),
-    )
-    enough = F.regexp_count(F.col(text), F.lit(SENTENCE)) >= run
-    if alone_words is not None:
-        spans, enough = _grown_spans(sentences, run, least_words, alone_words), F.col(text).isNotNull()
-    keys = stage(
-        df.filter(enough)
-        .select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.explode(spans).alias("s"))
-        .select("doc_id", "version", F.col("s.at").alias("at"), F.col("s.n").alias("n"), F.col("s.h").alias("h"))
-        .filter(F.col("h").isNotNull()),
-        "spans",
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text"):
+            found = [spans_of(t, least_words) for t in texts_of(batch, "text")]
+            row = pa.array(np.repeat(np.arange(batch.num_rows), [len(f[0]) for f in found]))
+            columns = [pa.array(np.concatenate([f[i] for f in found])) for i in range(3)]
+            own = [batch.column(c).take(row) for c in ("doc_id", "version")]
+            yield pa.RecordBatch.from_arrays([*own, *columns], ["doc_id", "version", "at", "n", "h"])
+
+    kind = df.schema[doc_id].dataType.simpleString()
+    rows = df.filter(F.col(text).isNotNull()).select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.col(text).alias("text")
     )
+    keys = stage(rows.mapInArrow(cut, f"doc_id {kind}, version long, at long, n long, h long"), "spans")
     # The first place of every repeated hash; a hot passage is combined before the shuffle.
     firsts = (
         keys.groupBy("h")
@@ -112,23 +93,21 @@ def drop_repeats(
     df: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    run: int = 3,
-    least_words: int = 6,
+    least_words: int = LEAST_WORDS,
     carry: Sequence[str] = (),
-    alone_words: int | None = None,
 ) -> DataFrame:
     """Remove from every text the sentences that a repeated span covers.
 
     Returns ``doc_id, text, n_sentences, n_removed, removed`` (numbers of the removed
     sentences, ascending) and the columns of ``carry``, one row per input row. The text is what is left, in its old
     order and spacing, possibly empty. NULL text stays NULL, with 0 sentences; texts of
-    fewer than ``run`` sentences are unchanged without ``alone_words``. Rows that repeat an id with the same text
-    are one document; with different texts, each loses its own sentences. An empty table gives no
-    rows.
+    fewer than ``least_words`` words are unchanged. Rows that repeat an id with the same text
+    are one document; with different texts, each loses its own sentences. Extra columns are ignored
+    unless carried. An empty table gives no rows.
     """
-    spans = repeated_spans(df, doc_id, text, run, least_words, alone_words)
-    longest = spans.groupBy("doc_id", "version", "at").agg(F.max("n").alias("n"))
-    starts = longest.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("starts"))
+    spans = repeated_spans(df, doc_id, text, least_words)
+    # A set: rows that repeat an id and a text have the same spans.
+    starts = spans.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set(F.struct("at", "n"))).alias("starts"))
     rows = df.select(
         F.col(doc_id).alias("doc_id"),
         F.col(text).alias("text"),
@@ -174,6 +153,6 @@ def drop_repeats(
         F.when(F.col("removed").isNull(), F.col("text")).otherwise(rest).alias("text"),
         F.coalesce(F.regexp_count("text", F.lit(SENTENCE)), F.lit(0)).cast("long").alias("n_sentences"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+        F.coalesce("removed", F.array().cast("array<long>")).cast("array<int>").alias("removed"),
         *(F.col("carried")[c].alias(c) for c in carry),
     )
