@@ -49,9 +49,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without passages that occur in an earlier one. ``n_chars`` follows the text.
 
-    Passages are runs of two sentences, longer ones of tiny sentences, and single long sentences.
+    Passages are runs of sentences with 20 words at least, as in the operator's own query.
     """
-    return drop_repeats(docs, run=2, carry=("lang", "source", "n_chars"), alone_words=25).select(
+    return drop_repeats(docs, carry=("lang", "source", "n_chars")).select(
         "doc_id",
         "text",
         "lang",
