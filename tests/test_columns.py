@@ -19,7 +19,8 @@ from tidemark.functions import (
 from tidemark.operators.columns import add_date_alias, fill_unknown, normalize_columns, safe_trim
 from tidemark.plans.bronze import add_quality_flags, add_record_id, to_bronze, valid_records
 from tidemark.sources.datasets import DATASETS, dataset
-from tidemark.sources.files import check_date, check_file_name, read_csv
+from tidemark.operators.staging import stage
+from tidemark.sources.files import check_date, check_file_name, read_csv, scan_csv, unreadable_values
 
 
 def _texts(spark, values):
@@ -118,22 +119,50 @@ def test_bronze_columns_on_empty_input(spark):
 
 
 def test_csv(spark, tmp_path):
-    # Columns bind by position whatever the header says; a bad number becomes NULL.
+    # By position, whatever the header says; a bad number becomes NULL.
     (tmp_path / "reviews.csv").write_text(
         "Rating,Product ID,order_id,review_id,text,time\n"
         '1,2,3,5,"fine, thanks",2024-01-01T00:00:00\n'
         "x,2,2.5,,,\n"
     )
-    rows = read_csv(spark, str(tmp_path), "reviews.csv").coalesce(1).collect()
+    rows = read_csv(spark, str(tmp_path), "reviews.csv", by_position=True).coalesce(1).collect()
     assert tuple(rows[0])[:6] == (1, 2, 3, 5, "fine, thanks", "2024-01-01T00:00:00")
     assert tuple(rows[1])[:6] == (None, 2, None, None, None, None)
     assert rows[0]["source_file"].endswith("/reviews.csv")
+    with pytest.raises(ValueError, match="has columns rating, product_id"):
+        read_csv(spark, str(tmp_path), "reviews.csv")
     with pytest.raises(FileNotFoundError):
         read_csv(spark, str(tmp_path), "orders.csv")
     with pytest.raises(ValueError, match="unknown data set"):
         read_csv(spark, str(tmp_path), "reviews.csv", "nothing")
 
 
+def test_columns_bind_by_name(spark, tmp_path):
+    (tmp_path / "reviews.csv").write_text("Rating, Product ID ,order_id,review_id,review_time,review_text\n5,2,3,4,then,text\n")
+    row = read_csv(spark, str(tmp_path), "reviews.csv").first()
+    assert tuple(row)[:6] == (4, 3, 2, 5, "text", "then")
+
+
+def test_unreadable_values_are_reported(spark, tmp_path):
+    header = "order_id,product_id,unit_price_usd,quantity,line_total_usd\n"
+    good = "".join(f"{i},1,2.5, 3 ,7.5\n" for i in range(5000))
+    (tmp_path / "order_items.csv").write_text(header + good + "7,8,x,3.0,\n" + good + "1,2,3\n9,9,1,1,1,1\n,,,,\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")  # several splits
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        scan = stage(scan_csv(spark, str(tmp_path), "order_items.csv"), "scan")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert scan.select("split").distinct().count() > 3
+    assert scan.where("quantity = 3").count() == 10_000
+    found = unreadable_values(scan, "order_id").drop("source_file").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [(5001, 7, "quantity", "3.0"), (5001, 7, "unit_price_usd", "x"), (10002, 1, None, "1,2,3"), (10003, 9, None, "9,9,1,1,1,1")],
+        key=str,
+    )
+
+
 @pytest.mark.parametrize("text", ["2024-1-1", "20240101", "2024-02-30", "", None])
 def test_dates_are_checked(text):
     with pytest.raises(ValueError):

@@ -687,6 +687,17 @@ def _valid_only() -> str:
     return o.sql(f"select dataset, record_id from {_damaged(o)} where record_id <> ''")
 
 
+def _unreadable() -> str:
+    """Values of the spoilt orders that are no numbers; the CSV reader trims no text but reads '' as NULL."""
+    o = Oracle()
+    orders = o.source("orders")
+    return o.sql(f"""
+select order_id, payment_method, 'customer_id' as "column", cast(customer_id as varchar) || '.0' as "value"
+from {orders} where order_id % 7 = 0 and customer_id is not null union all
+select order_id, payment_method, 'subtotal_usd', 'USD ' || order_id from {orders} where order_id % 11 = 0 union all
+select order_id, payment_method, 'discount_pct', 'n/a' from {orders} where order_id % 13 = 0""")
+
+
 def _partition_replace() -> str:
     o = Oracle()
     return o.sql(f"""
@@ -816,6 +827,7 @@ def statements() -> dict[str, str]:
     q["bronze_record_id"] = _record_ids()
     q["bronze_quality_flags"] = _quality_flags()
     q["bronze_valid_only"] = _valid_only()
+    q["bronze_unreadable"] = _unreadable()
     q["bronze_partition_replace"] = _partition_replace()
     q["silver_valid_orders"] = _from(
         "select * from {0} where validation_errors is null", lambda o: o.silver("orders")

@@ -27,11 +27,12 @@ from tidemark.operators.keys import assign_keys
 from tidemark.operators.lookup import attach_dimension_key
 from tidemark.operators.merge import merge_preserving_keys, merge_upsert
 from tidemark.operators.rules import valid_rows, violation_counts
-from tidemark.operators.staging import staging_path
+from tidemark.operators.staging import stage, staging_path
 from tidemark.plans import dims, facts, incremental, pipeline, serving
 from tidemark.plans.bronze import add_quality_flags, add_record_id, valid_records
 from tidemark.plans.samples import FIRST_DATE, FIRST_TS, LAST_DATE, LAST_TS, Shop
 from tidemark.sources.datasets import DATASETS
+from tidemark.sources.files import scan_csv, unreadable_values
 from tidemark.sources.tables import Lakehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +120,25 @@ def bronze_valid_only(spark, folder):
     )
 
 
+@query("bronze_unreadable")
+def bronze_unreadable(spark, folder):
+    """Orders from a CSV file whose ids and amounts are partly no numbers, columns in reverse."""
+    source = Shop(spark, folder).source("orders")
+    n = F.col("order_id")
+    spoilt = {
+        "customer_id": F.when(n % 7 == 0, F.concat("customer_id", F.lit(".0"))).otherwise(F.col("customer_id").cast("string")),
+        "subtotal_usd": F.when(n % 11 == 0, F.concat(F.lit("USD "), n)).otherwise(F.col("subtotal_usd").cast("string")),
+        "discount_pct": F.when(n % 13 == 0, F.lit("n/a")).otherwise(F.col("discount_pct").cast("string")),
+    }
+    path = staging_path(spark, "delivery")
+    delivery = source.withColumns(spoilt).select(*reversed(source.columns))
+    # Text is written as it is, blanks included.
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    delivery.write.csv(f"{path}/orders.csv", header=True, **kept)
+    scan = stage(scan_csv(spark, path, "orders.csv"), "scan")
+    return unreadable_values(scan, "order_id", "payment_method").drop("source_file", "row")
+
+
 @query("bronze_partition_replace")
 def bronze_partition_replace(spark, folder):
     """Two ingest dates, the second one delivered twice."""

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import resolve_surrogates
-from tidemark.operators.staging import staging_run
+from tidemark.operators.staging import stage, staging_run
 from tidemark.plans import bronze, dims, facts, incremental, silver
 from tidemark.plans.incremental import PIPELINE_NAME, WATERMARK_SCHEMA, BuildState
 from tidemark.sources.datasets import DATASETS, dataset
-from tidemark.sources.files import check_date, read_csv
+from tidemark.sources.files import SCAN_COLUMNS, check_date, scan_csv, unreadable_values
 from tidemark.sources.tables import Lakehouse
 
 WATERMARK = "pipeline_watermark"
@@ -40,11 +40,38 @@ def ingest_to_bronze(
 
 
 def ingest_csv(
-    lake: Lakehouse, ingest_date: str, folder: str, file_name: str, name: str | None = None
-) -> None:
-    """``ingest_to_bronze`` from a CSV file named after its data set."""
-    source = read_csv(lake.spark, folder, file_name, name)
-    ingest_to_bronze(lake, ingest_date, name or file_name.removesuffix(".csv"), source)
+    lake: Lakehouse,
+    ingest_date: str,
+    folder: str,
+    file_name: str,
+    name: str | None = None,
+    most_unreadable: float | None = None,
+    by_position: bool = False,
+) -> int:
+    """``ingest_to_bronze`` from a CSV file named after its data set; returns the number of unreadable records.
+
+    Values that do not fit their type are NULL in Bronze, and kept as written in the quarantine table
+    ``<name>_unreadable`` (file, row, column, value), by ingest date; a file delivered again replaces its
+    entries. If the share of such records exceeds ``most_unreadable``, nothing is stored and the error names the
+    first ones.
+    """
+    check_date(ingest_date)
+    name = name or file_name.removesuffix(".csv")
+    # Parsed once; the checks and the write read the typed copy.
+    scan = stage(scan_csv(lake.spark, folder, file_name, name, by_position), f"scan-{name}")
+    rows, bad = scan.agg(F.count("*"), F.count(F.when(F.size("unreadable") > 0, 1))).first()
+    odd = unreadable_values(scan)
+    if most_unreadable is not None and bad > most_unreadable * rows:
+        first = "; ".join(
+            f"row {r['row']}, {r['column'] or 'record'}: {r['value']!r}"
+            for r in odd.orderBy("source_file", "row", "column").limit(3).collect()
+        )
+        raise ValueError(f"{bad} of {rows} records of {file_name} cannot be read, more than {most_unreadable:.2%}: {first}")
+    quarantine = f"{name}_unreadable"
+    if bad or lake.location("bronze", quarantine):
+        lake.replace_partition(odd, "bronze", quarantine, "ingest_date", ingest_date)
+    ingest_to_bronze(lake, ingest_date, name, scan.drop(*SCAN_COLUMNS))
+    return bad
 
 
 def read_bronze(lake: Lakehouse, name: str, ingest_date: str | None = None) -> DataFrame:
@@ -246,15 +273,28 @@ def run_pipeline(
     by_day: bool = True,
     at_once: int = 4,
 ) -> None:
-    """One run over all data sets: ``source`` gives each by name.
+    """One run over all data sets: ``source`` gives each by name."""
+
+    def ingest(name: str) -> None:
+        ingest_to_bronze(lake, process_date, name, source(name), ingested_at)
+
+    _run(lake, process_date, process_ts, ingest, by_day, at_once)
+
+
+def _run(
+    lake: Lakehouse,
+    process_date: str,
+    process_ts: str,
+    ingest: Callable[[str], object],
+    by_day: bool = True,
+    at_once: int = 4,
+) -> None:
+    """Ingest, clean and build everything.
 
     Tables of one group do not depend on each other and are built side by side. The
     mark advances last, so a run that fails is simply repeated.
     """
 
-    def ingest(name: str) -> None:
-        ingest_to_bronze(lake, process_date, name, source(name), ingested_at)
-
     def refine(name: str) -> None:
         clean_silver(lake, process_date, name)
 
@@ -272,14 +312,19 @@ def run_pipeline(
 
 
 def run_csv_pipeline(
-    lake: Lakehouse, process_date: str, process_ts: str, folder: str, by_day: bool = True
+    lake: Lakehouse,
+    process_date: str,
+    process_ts: str,
+    folder: str,
+    by_day: bool = True,
+    most_unreadable: float | None = None,
 ) -> None:
-    """``run_pipeline`` over a folder of CSV files."""
+    """``run_pipeline`` over a folder of CSV files; see :func:`ingest_csv` for ``most_unreadable``."""
 
-    def source(name: str) -> DataFrame:
-        return read_csv(lake.spark, folder, f"{name}.csv")
+    def ingest(name: str) -> None:
+        ingest_csv(lake, process_date, folder, f"{name}.csv", most_unreadable=most_unreadable)
 
-    run_pipeline(lake, process_date, process_ts, source, by_day=by_day)
+    _run(lake, process_date, process_ts, ingest, by_day)
 
 
 def row_counts(lake: Lakehouse) -> DataFrame:
