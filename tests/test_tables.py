@@ -99,6 +99,20 @@ def test_merge_of_new_partitions_only(spark, lake):
     assert rows(lake.read("gold", "t").select("k", "v", "p")) == expected
 
 
+@pytest.mark.parametrize("partition_by", [None, "p"])
+def test_merge_retracts_within_its_scope(spark, lake, partition_by):
+    lake.overwrite(_frame(spark, [(1, "a", 1), (2, "a", 2), (3, "b", 2), (4, "c", 3), (5, None, 3)]), "gold", "t", partition_by)
+    again = _frame(spark, [(2, "x", 3), (6, "b", 1)])
+    scope = _frame(spark, [("a",), ("b",), ("b",), ("unknown",), (None,)], "v string")
+    for _ in range(2):
+        lake.merge(again, "gold", "t", ["k"], partition_by, retract=scope)
+        # 1 and 3 are within the scope and do not come again; NULL equals nothing.
+        want = [(2, "x", 3), (4, "c", 3), (5, None, 3), (6, "b", 1)]
+        assert rows(lake.read("gold", "t").select("k", "v", "p")) == want
+    lake.merge(again.limit(0), "gold", "t", ["k"], partition_by, retract=_frame(spark, [("b",)], "v string"))
+    assert rows(lake.read("gold", "t").select("k")) == [(2,), (4,), (5,)]
+
+
 def test_ambiguous_merge_changes_nothing(spark, lake):
     lake.merge(_frame(spark, [(1, "a", 10)]), "gold", "t", ["k"], "p")
     for partition_by in (None, "p"):

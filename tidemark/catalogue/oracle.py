@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import re
 
-from tidemark.sources.samples import DUCKDB, FIRST_DELIVERY, SAMPLE_SQL, SECOND_DELIVERY
+from tidemark.sources.samples import DELIVERIES, DUCKDB, SAMPLE_SQL
 
-DATES = {None: "2024-01-31", 1: "2024-01-15", 2: "2024-01-31"}
+DATES = {None: "2024-01-31", 1: "2024-01-15", 2: "2024-01-31", 3: "2024-01-31"}
 STAMPS = {None: "2024-01-31 00:00:00", 1: "2024-01-15 00:00:00", 2: "2024-01-31 00:00:00"}
+# The corrections bring no snapshots: dimensions are those of the first delivery.
+SNAPSHOT = {3: 1}
 SINCE = "date '2024-01-15'"
 DATASETS = ("events", "customers", "orders", "products", "reviews", "sessions", "order_items")
 KEYS = {
@@ -290,7 +292,7 @@ class Oracle:
     def source(self, name: str, delivery: int | None = None) -> str:
         if delivery is None:
             return self.cte(f"src_{name}", SAMPLE_SQL[name](DUCKDB))
-        text = (FIRST_DELIVERY if delivery == 1 else SECOND_DELIVERY)[name]
+        text = DELIVERIES[delivery][name]
         body = re.sub(r"\{(\w+)\}", lambda m: self.source(m.group(1)), text)
         return self.cte(f"src{delivery}_{name}", body)
 
@@ -320,12 +322,14 @@ class Oracle:
 
     def silver(self, name: str, delivery: int | None = None) -> str:
         """The Silver table after a delivery."""
+        if delivery == 3 and name in ("customers", "products"):
+            delivery = 1
         batch = self.silver_batch(name, delivery)
-        if delivery != 2 or name in ("customers", "products"):
+        if delivery not in (2, 3) or name in ("customers", "products"):
             return batch
         held = self.silver_batch(name, 1)
         return self.cte(
-            f"merged_{name}",
+            f"merged{delivery}_{name}",
             f"""
   select * from {batch} union all by name
   select * from {held} h where not exists
@@ -367,6 +371,7 @@ class Oracle:
         )
 
     def static(self, name: str, delivery: int | None = None) -> str:
+        delivery = SNAPSHOT.get(delivery, delivery)
         table, column, value, key = STATIC[name]
         members = f"""
     select distinct {column} as v from {self.silver(table, delivery)} where {column} is not null"""
@@ -386,6 +391,7 @@ class Oracle:
 
     def snapshot(self, name: str, delivery: int | None = None) -> str:
         """Tracked attributes as delivered."""
+        delivery = SNAPSHOT.get(delivery, delivery)
         if name == "dim_customer":
             year = DATES[delivery][:4]
             body = f"""
@@ -406,6 +412,7 @@ class Oracle:
         return self.cte(f"snapshot{delivery or ''}_{name}", body)
 
     def history(self, name: str, delivery: int | None = None) -> str:
+        delivery = SNAPSHOT.get(delivery, delivery)
         natural, key, attributes = HISTORY[name]
         snapshot = self.snapshot(name, delivery)
         opened = f"'{STAMPS[delivery]}' as effective_from, cast(null as varchar) as effective_to," \
@@ -442,6 +449,7 @@ class Oracle:
         )
 
     def current(self, name: str, delivery: int | None = None) -> str:
+        delivery = SNAPSHOT.get(delivery, delivery)
         return self.cte(
             f"current{delivery or ''}_{name}",
             f"select * from {self.history(name, delivery)} where is_current",
@@ -584,6 +592,19 @@ class Oracle:
   from {delta} d where not exists (select 1 from {held} h where {_same(order, 'h', 'd')})""",
         )
 
+    def fact_retraction(self, name: str) -> str:
+        """The table rebuilt over the corrected first delivery; known keys keep their number."""
+        key, order = FACT_KEYS[name]
+        held, rows = self.fact(name, 1), self.fact_rows(name, 3)
+        return self.cte(
+            f"{name}3",
+            f"""
+  select h.{key}, r.* from {rows} r join {held} h on {_same(order, 'h', 'r')}
+  union all by name
+  select (select max({key}) from {held}) + row_number() over (order by {order}) as {key}, r.*
+  from {rows} r where not exists (select 1 from {held} h where {_same(order, 'h', 'r')})""",
+        )
+
     # --- funnel -----------------------------------------------------------------------
 
     def milestone(self, kind: str, delivery: int | None = None) -> str:
@@ -953,6 +974,9 @@ from {{0}}""",
             q[f"{n}_incremental"] = _from(
                 f"select *{drop} from {{0}}", lambda o, n=n: o.fact_incremental(n)
             )
+            q[f"{n}_retraction"] = _from(
+                f"select *{drop} from {{0}}", lambda o, n=n: o.fact_retraction(n)
+            )
     q["event_duration"] = _table(lambda o: o.durations(joined=False))
     q["session_order_map"] = _table(lambda o: o.session_orders())
     q["funnel_first_view"] = _from(

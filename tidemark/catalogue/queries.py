@@ -499,12 +499,13 @@ def watermark_read(spark, folder):
     return incremental.read_watermark(_watermarks(spark, folder))
 
 
-def _incremental(name: str) -> Query:
+def _incremental(name: str, delivery: int) -> Query:
     def run(spark, folder):
         fact = facts.FACTS[name]
-        shop = Shop(spark, folder, 2, stored=True)
-        held = shop.previous.fact(name)
-        merged = merge_preserving_keys(held, shop.fact_delta(name), fact.keys, fact.surrogate)
+        shop = Shop(spark, folder, delivery, stored=True)
+        held = stage(shop.previous.fact(name), name)
+        delta = shop.fact_delta(name, held)
+        merged = merge_preserving_keys(held, delta.rows, fact.keys, fact.surrogate, delta.scope)
         return facts.contract(name, merged)
 
     return run
@@ -512,7 +513,9 @@ def _incremental(name: str) -> Query:
 
 for _name, _spec in facts.FACTS.items():
     if _spec.incremental:
-        register(f"{_name}_incremental", _incremental(_name))
+        register(f"{_name}_incremental", _incremental(_name, 2))
+        # Corrections that invalidate rows, make others valid again, and move events between sessions.
+        register(f"{_name}_retraction", _incremental(_name, 3))
 
 
 # --- serving ----------------------------------------------------------------------

@@ -29,15 +29,20 @@ def merge_upsert(
     source: DataFrame,
     keys: Sequence[str],
     check_unique: bool = True,
+    retract: DataFrame | None = None,
 ) -> DataFrame:
     """Update matched rows, insert the others, keep the rest of the target.
 
     Columns may differ: new source columns are added, and a column the source lacks
-    keeps the target's value on matched rows.
+    keeps the target's value on matched rows. ``retract`` names what was taken anew as a whole: rows of the
+    target that equal one of its rows in all of its columns, and whose key the source lacks, go.
     """
     keys = list(keys)
     if check_unique:
         require_unique_matches(target, source, keys)
+    if retract is not None:
+        gone = retracted(target, source, keys, retract)
+        target = target.join(gone, keys, "left_anti")
 
     if set(target.columns) <= set(source.columns):
         # A small source is broadcast for the anti join: the target does not move.
@@ -64,6 +69,16 @@ def merge_upsert(
     return merged.select(*_union_columns(target, source))
 
 
+def retracted(target: DataFrame, source: DataFrame, keys: Sequence[str], scope: DataFrame) -> DataFrame:
+    """Keys of target rows within ``scope`` that the source does not bring again.
+
+    Scope and source hold what a delivery touched; the target is reduced to the scope first.
+    """
+    keys = list(keys)
+    within = target.join(scope.distinct(), list(scope.columns), "left_semi").select(*keys)
+    return within.join(source.select(*keys), keys, "left_anti").distinct()
+
+
 def _union_columns(target: DataFrame, source: DataFrame) -> list[str]:
     return [*target.columns, *(c for c in source.columns if c not in target.columns)]
 
@@ -97,8 +112,12 @@ def resolve_surrogates(
 
 
 def merge_preserving_keys(
-    target: DataFrame, incoming: DataFrame, keys: Sequence[str], surrogate: str
+    target: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    surrogate: str,
+    retract: DataFrame | None = None,
 ) -> DataFrame:
     """``merge_upsert`` in which known business keys keep their surrogate key."""
     resolved = resolve_surrogates(incoming, target, keys, surrogate)
-    return merge_upsert(target, resolved, keys)
+    return merge_upsert(target, resolved, keys, retract=retract)

@@ -104,6 +104,21 @@ def resolve_build_state(has_data: bool, latest: str | None, watermark: str | Non
 
 
 # --- facts from what changed --------------------------------------------------
+#
+# These take all Silver rows of a data set, invalid ones included, with their date alias: a correction
+# that makes a row invalid touches its object as well.
+
+
+@dataclass(frozen=True)
+class Delta:
+    """Fact rows taken anew, and the ``scope`` they cover.
+
+    The scope holds values of fact columns. Stored rows that match it and do not come again have lost
+    their ground - the object is invalid now, or has moved - and are deleted.
+    """
+
+    rows: DataFrame
+    scope: DataFrame
 
 
 def _ids(key: str, *frames: DataFrame) -> DataFrame:
@@ -112,19 +127,20 @@ def _ids(key: str, *frames: DataFrame) -> DataFrame:
 
 def fact_order_since(
     orders: DataFrame, order_items: DataFrame, dims: facts.Dims, watermark: str
-) -> DataFrame:
+) -> Delta:
     """Orders that are new or changed, or whose items are."""
     touched = _ids("order_id", read_since(orders, watermark), read_since(order_items, watermark))
-    return facts.fact_order(
-        orders.join(touched, "order_id", "left_semi"),
-        order_items.join(touched, "order_id", "left_semi"),
+    rows = facts.fact_order(
+        valid_rows(orders).join(touched, "order_id", "left_semi"),
+        valid_rows(order_items).join(touched, "order_id", "left_semi"),
         dims,
     )
+    return Delta(rows, touched)
 
 
 def fact_order_item_since(
     orders: DataFrame, order_items: DataFrame, dims: facts.Dims, watermark: str
-) -> DataFrame:
+) -> Delta:
     """Items that are new or changed, or whose order is."""
     changed = _ids("order_id", read_since(orders, watermark)).withColumn("_changed", F.lit(True))
     touched = (
@@ -132,26 +148,34 @@ def fact_order_item_since(
         .where(newer_than(watermark) | F.col("_changed"))
         .drop("_changed")
     )
-    return facts.fact_order_item(orders, touched, dims)
+    rows = facts.fact_order_item(valid_rows(orders), valid_rows(touched), dims)
+    return Delta(rows, touched.select("order_id", "product_id"))
 
 
 def fact_web_event_since(
-    events: DataFrame, sessions: DataFrame, dims: facts.Dims, watermark: str
-) -> DataFrame:
-    """All events of sessions that changed or got events.
+    events: DataFrame, sessions: DataFrame, dims: facts.Dims, watermark: str, held: DataFrame
+) -> Delta:
+    """All events of sessions that changed, got events, or lost some.
 
     A new event also ends the dwell time of the event before it, so the sessions are
-    taken whole.
+    taken whole. The stored fact ``held`` tells which session an event was in before.
     """
-    touched = _ids("session_id", read_since(events, watermark), read_since(sessions, watermark))
-    return facts.fact_web_event(events.join(touched, "session_id", "left_semi"), sessions, dims)
+    arrived = read_since(events, watermark)
+    left = held.join(arrived.select("event_id"), "event_id", "left_semi")
+    touched = _ids("session_id", arrived, read_since(sessions, watermark), left)
+    rows = facts.fact_web_event(
+        valid_rows(events).join(touched, "session_id", "left_semi"), valid_rows(sessions), dims
+    )
+    return Delta(rows, touched)
 
 
-def fact_review_since(reviews: DataFrame, dims: facts.Dims, watermark: str) -> DataFrame:
+def fact_review_since(reviews: DataFrame, dims: facts.Dims, watermark: str) -> Delta:
     """New or changed reviews."""
-    return facts.fact_review(read_since(reviews, watermark), dims)
+    arrived = read_since(reviews, watermark)
+    return Delta(facts.fact_review(valid_rows(arrived), dims), arrived.select("review_id"))
 
 
-def fact_session_since(sessions: DataFrame, dims: facts.Dims, watermark: str) -> DataFrame:
+def fact_session_since(sessions: DataFrame, dims: facts.Dims, watermark: str) -> Delta:
     """New or changed sessions."""
-    return facts.fact_session(read_since(sessions, watermark), dims)
+    arrived = read_since(sessions, watermark)
+    return Delta(facts.fact_session(valid_rows(arrived), dims), arrived.select("session_id"))

@@ -200,16 +200,17 @@ FULL: dict[str, Callable] = {
         s("events"), s("sessions"), s("orders"), s("order_items"), d
     ),
 }
-SINCE: dict[str, Callable] = {
-    "fact_order": lambda s, d, w: incremental.fact_order_since(s("orders"), s("order_items"), d, w),
-    "fact_order_item": lambda s, d, w: incremental.fact_order_item_since(
+# Silver with dates, dimensions, mark, stored fact.
+SINCE: dict[str, Callable[..., incremental.Delta]] = {
+    "fact_order": lambda s, d, w, _: incremental.fact_order_since(s("orders"), s("order_items"), d, w),
+    "fact_order_item": lambda s, d, w, _: incremental.fact_order_item_since(
         s("orders"), s("order_items"), d, w
     ),
-    "fact_web_event": lambda s, d, w: incremental.fact_web_event_since(
-        s("events"), s("sessions"), d, w
+    "fact_web_event": lambda s, d, w, held: incremental.fact_web_event_since(
+        s("events"), s("sessions"), d, w, held
     ),
-    "fact_review": lambda s, d, w: incremental.fact_review_since(s("reviews"), d, w),
-    "fact_session": lambda s, d, w: incremental.fact_session_since(s("sessions"), d, w),
+    "fact_review": lambda s, d, w, _: incremental.fact_review_since(s("reviews"), d, w),
+    "fact_session": lambda s, d, w, _: incremental.fact_session_since(s("sessions"), d, w),
 }
 
 
@@ -220,16 +221,22 @@ def _fact(lake: Lakehouse, table: str, state: BuildState, by_day: bool) -> None:
     def usable(name: str) -> DataFrame:
         return incremental.usable(lake.read("silver", name), name)
 
+    def dated(name: str) -> DataFrame:
+        return incremental.with_date(lake.read("silver", name), name)
+
     stored = (*fact.columns, *fact.extra)
     partition = FACT_PARTITION if by_day and FACT_PARTITION in fact.columns else None
     if state.since is None or not fact.incremental:
         rows = facts.numbered(table, FULL[table](usable, tables))
         lake.overwrite(rows, "gold", table, partition)
         return
-    delta = SINCE[table](usable, tables, state.since)
-    rows = resolve_surrogates(delta, lake.read("gold", table), fact.keys, fact.surrogate)
-    if not rows.isEmpty():
-        lake.merge(rows.select(*stored), "gold", table, fact.keys, partition, check_unique=False)
+    held = lake.read("gold", table)
+    delta = SINCE[table](dated, tables, state.since, held)
+    scope = stage(delta.scope, f"scope-{table}")
+    if scope.isEmpty():
+        return
+    rows = resolve_surrogates(delta.rows, held, fact.keys, fact.surrogate)
+    lake.merge(rows.select(*stored), "gold", table, fact.keys, partition, check_unique=False, retract=scope)
 
 
 def build_gold(

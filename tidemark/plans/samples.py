@@ -1,7 +1,7 @@
 """The layers over the sample tables, without stored tables in between.
 
 The registered queries and the tests use these: ``Shop`` holds one state of the
-shop (everything at once, or after the first or second delivery).
+shop (everything at once, or after the first or second delivery, or after corrections of the first).
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ FIRST_TS, LAST_TS = "2024-01-15 00:00:00", "2024-01-31 00:00:00"
 class Shop:
     """Silver frames and Gold tables derived from the sample tables in a folder.
 
-    ``delivery`` None takes all rows in one load; 1 and 2 replay two deliveries. With
+    ``delivery`` None takes all rows in one load; 1 and 2 replay two deliveries; 3 corrects rows of the
+    first one and brings no snapshot. With
     ``stored``, Silver tables are written before they are used, as in a lakehouse:
     Gold reads most of them several times.
     """
@@ -48,7 +49,7 @@ class Shop:
 
     @cached_property
     def previous(self) -> Shop | None:
-        if self.delivery != 2:
+        if self.delivery not in (2, 3):
             return None
         return Shop(self.spark, self.folder, 1, self.stored, self.samples)
 
@@ -65,6 +66,8 @@ class Shop:
     def silver(self, name: str) -> DataFrame:
         """The Silver table after this delivery."""
         if name not in self._silver:
+            if self.delivery == 3 and dataset(name).snapshot:
+                return self.previous.silver(name)
             batch = self.silver_batch(name)
             if self.previous and not dataset(name).snapshot:
                 batch = merge_upsert(
@@ -78,6 +81,8 @@ class Shop:
 
     def dims(self, names: Iterable[str]) -> dict[str, DataFrame]:
         """Dimension tables after this delivery, written out, built at most once."""
+        if self.delivery == 3:
+            return self.previous.dims(names)
         wanted = set(names)
         if "dim_product" in wanted:
             wanted.add("dim_category")
@@ -126,9 +131,12 @@ class Shop:
         """A fact table after a full load."""
         return facts.numbered(name, self.fact_rows(name))
 
-    def fact_delta(self, name: str) -> DataFrame:
-        """Unnumbered rows of the increment since the first delivery."""
-        return SINCE[name](self.usable, self.dims(facts.FACTS[name].dimensions), FIRST_DATE)
+    def dated(self, name: str) -> DataFrame:
+        return incremental.with_date(self.silver(name), name)
+
+    def fact_delta(self, name: str, held: DataFrame) -> incremental.Delta:
+        """Unnumbered rows of the increment since the first delivery, which gave ``held``."""
+        return SINCE[name](self.dated, self.dims(facts.FACTS[name].dimensions), FIRST_DATE, held)
 
     def silver_tables(self) -> dict[str, DataFrame]:
         return {name: self.silver(name) for name in DATASETS}

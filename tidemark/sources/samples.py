@@ -213,6 +213,43 @@ SECOND_DELIVERY = {
           margin_usd
         from {products}""",
 }
+# Corrections of the first delivery: valid rows become invalid, invalid ones valid, events change sessions.
+CORRECTIONS = {
+    "orders": """
+        select order_id,
+          case when order_id % 20 = 2 then 0 when customer_id = 0 then 1 else customer_id end as customer_id,
+          order_time, payment_method,
+          case when discount_pct = 150 then 0 else discount_pct end as discount_pct,
+          subtotal_usd, total_usd, country, device, source
+        from {orders}
+        where order_time < '2024-01-16' and (order_id % 20 = 2 or customer_id = 0 or discount_pct = 150)""",
+    "order_items": """
+        select i.order_id, i.product_id, i.unit_price_usd, -i.quantity as quantity, i.line_total_usd
+        from {order_items} i
+        semi join (select order_id from {orders} where order_time < '2024-01-16') o
+        on i.order_id = o.order_id
+        where i.product_id % 15 = 4 or i.quantity < 0""",
+    "events": """
+        select e.event_id,
+          case when e.event_id % 23 = 5 then n.session_id else e.session_id end as session_id,
+          e.timestamp, case when e.event_id % 29 = 3 then 'error' else e.event_type end as event_type,
+          e.product_id, e.qty, e.cart_size,
+          case when e.event_type = 'purchase' then coalesce(e.payment, 'card') else e.payment end as payment,
+          e.discount_pct, e.amount_usd
+        from {events} e join {events} n on n.event_id = e.event_id + 1
+        where e.timestamp < '2024-01-16' and n.timestamp < '2024-01-16'
+          and (e.event_id % 23 = 5 or e.event_id % 29 = 3 or e.event_id % 101 = 0)""",
+    "sessions": """
+        select session_id, case when customer_id = 0 then 2 else 0 end as customer_id,
+          start_time, device, source, country
+        from {sessions} where start_time < '2024-01-16' and (session_id % 17 = 3 or customer_id = 0)""",
+    "reviews": """
+        select review_id, order_id, product_id, case when review_id % 19 = 4 then 9 else 1 end as rating,
+          review_text, review_time
+        from {reviews}
+        where (review_time < '2024-01-16' or review_time like '%/%') and (review_id % 19 = 4 or rating = 0)""",
+}
+DELIVERIES = {1: FIRST_DELIVERY, 2: SECOND_DELIVERY, 3: CORRECTIONS}
 
 
 class Samples:
@@ -229,13 +266,13 @@ class Samples:
         return self._tables[name]
 
     def source(self, name: str, delivery: int | None = None) -> DataFrame:
-        """One data set: all of it, or what the first or second delivery holds."""
+        """One data set: all of it, or what one of the deliveries holds."""
         if (name, delivery) not in self._sources:
             if delivery is None:
                 text = SAMPLE_SQL[name](SPARK)
                 frames = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
             else:
-                text = (FIRST_DELIVERY if delivery == 1 else SECOND_DELIVERY)[name]
+                text = DELIVERIES[delivery][name]
                 frames = {n: self.source(n) for n in SAMPLE_SQL if "{" + n + "}" in text}
             self._sources[name, delivery] = self.spark.sql(text, **frames)
         return self._sources[name, delivery]
