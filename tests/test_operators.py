@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import random
 
 import pytest
@@ -22,6 +23,7 @@ from tidemark.operators.keys import assign_keys, max_key
 from tidemark.operators.lookup import attach_dimension_key
 from tidemark.operators.merge import merge_preserving_keys, merge_upsert
 from tidemark.operators.sequence import next_in_group
+from tidemark.operators.staging import stage
 from tidemark.plans.facts import event_duration
 
 few = settings(
@@ -196,6 +198,59 @@ def test_history_over_three_snapshots(spark):
     assert rows(same) == rows(three)
 
 
+def _history(spark, order, snapshots, stamps):
+    """Snapshots applied in some order; surrogates left out."""
+    table = None
+    for n, i in enumerate(order):
+        frame = spark.createDataFrame(snapshots[i], "id int, a string, b string")
+        seen = [(r[0], stamps[j]) for j in order[:n] for r in snapshots[j]]
+        later = spark.createDataFrame(seen, "id int, seen string") if seen else None
+        table = stage(build_scd2_dimension(frame, "id", "sk", ["a", "b"], stamps[i], table, later), "history")
+    keys = [r["sk"] for r in table.collect()]
+    assert len(set(keys)) == len(keys)
+    return rows(table.drop("sk"))
+
+
+def test_snapshots_in_any_order_end_in_one_history(spark):
+    stamps = [FIRST, SECOND, THIRD]
+    snapshots = [
+        [(1, "x", None), (2, "y", "q"), (3, "z", "r"), (5, "s", "s"), (7, "a", "a")],
+        [(1, "w", None), (2, "y", "q"), (4, "n", "n"), (6, "t", None), (7, "b", "b")],
+        [(1, "x", None), (2, "y", "p"), (3, "z", "r"), (4, "n", "n"), (5, "v", "s"), (6, "t", "t"), (7, "b", "b")],
+    ]
+    want = None
+    for i in range(3):
+        frame = spark.createDataFrame(snapshots[i], "id int, a string, b string")
+        want = build_scd2_dimension(frame, "id", "sk", ["a", "b"], stamps[i], want)
+    want = rows(want.drop("sk"))
+    assert (1, "x", None, THIRD, None, True) in want and len(want) == 13
+    for order in itertools.permutations(range(3)):
+        assert _history(spark, order, snapshots, stamps) == want, order
+
+
+def test_a_repeated_stamp_corrects_and_repeats(spark):
+    one = _apply(spark, [(1, "x", None), (2, "y", "q")], FIRST)
+    two = stage(_apply(spark, [(1, "w", None), (2, "y", "q"), (3, "z", "z")], SECOND, one), "two")
+    again = _apply(spark, [(1, "w", None), (2, "y", "q"), (3, "z", "z")], SECOND, two)
+    assert rows(again) == rows(two)
+    # 1 corrected, 2 changed after all, 3 as it was.
+    fixed = stage(_apply(spark, [(1, "u", None), (2, "y", "p"), (3, "z", "z")], SECOND, two), "fixed")
+    assert rows(fixed) == [
+        (1, 1, "x", None, FIRST, SECOND, False),
+        (2, 2, "y", "q", FIRST, SECOND, False),
+        (3, 1, "u", None, SECOND, None, True),
+        (4, 3, "z", "z", SECOND, None, True),
+        (5, 2, "y", "p", SECOND, None, True),
+    ]
+    # Back to what it was: the version of the stamp goes.
+    undone = _apply(spark, [(1, "x", None), (2, "y", "q")], SECOND, fixed)
+    assert rows(undone) == [
+        (1, 1, "x", None, FIRST, None, True),
+        (2, 2, "y", "q", FIRST, None, True),
+        (4, 3, "z", "z", SECOND, None, True),
+    ]
+
+
 def test_texts_that_concatenate_alike_differ(spark):
     one = _apply(spark, [(1, "a||", "b")], FIRST)
     two = _apply(spark, [(1, "a", "||b")], SECOND, one)

@@ -727,6 +727,26 @@ union all
 select order_id, subtotal_usd, date '2024-01-31' from {o.source('orders', 2)}""")
 
 
+def _late_snapshots() -> str:
+    """Runs of equal observations, whatever order they came in."""
+    o = Oracle()
+    stamps = {1: STAMPS[1], 3: "2024-01-20 00:00:00", 2: STAMPS[2]}
+    columns = "order_id, payment_method, subtotal_usd, country"
+    seen = " union all ".join(
+        f"select {columns}, '{stamp}' as seen from {o.silver_batch('orders', d)}" for d, stamp in stamps.items()
+    )
+    return o.sql(f"""
+select {columns}, seen as effective_from,
+  lead(seen) over (partition by order_id order by seen) as effective_to,
+  lead(seen) over (partition by order_id order by seen) is null as is_current
+from (
+  select *, row(payment_method, subtotal_usd, country) is distinct from
+      lag(row(payment_method, subtotal_usd, country)) over (partition by order_id order by seen)
+    or row_number() over (partition by order_id order by seen) = 1 as begins
+  from ({seen})
+) where begins""")
+
+
 def _table(build) -> str:
     """All rows of one table, ``build`` naming it."""
     o = Oracle()
@@ -952,6 +972,7 @@ from {{0}}""",
         q[f"{n}_scd2"] = _table(lambda o, n=n: o.history(n, 2))
     q["scd2_first_load"] = _table(lambda o: o.history("order_history", 1))
     q["scd2_second_run"] = _table(lambda o: o.history("order_history", 2))
+    q["scd2_late_snapshots"] = _late_snapshots()
     q["scd2_current"] = _table(lambda o: o.current("order_history", 2))
     attributes = [a.strip() for a in HISTORY["dim_customer"][2].split(",")]
     q["scd2_change_detect"] = _from(

@@ -30,7 +30,7 @@ from tidemark.operators.rules import valid_rows, violation_counts
 from tidemark.operators.staging import stage, staging_path
 from tidemark.plans import dims, facts, incremental, pipeline, serving
 from tidemark.plans.bronze import add_quality_flags, add_record_id, valid_records
-from tidemark.plans.samples import FIRST_DATE, FIRST_TS, LAST_DATE, LAST_TS, Shop
+from tidemark.plans.samples import FIRST_DATE, FIRST_TS, LAST_DATE, LAST_TS, MIDDLE_TS, Shop
 from tidemark.sources.datasets import DATASETS
 from tidemark.sources.files import scan_csv, unreadable_values
 from tidemark.sources.tables import Lakehouse
@@ -376,6 +376,20 @@ def scd2_current(spark, folder):
     return current_rows(_order_history(spark, folder, second=True))
 
 
+@query("scd2_late_snapshots")
+def scd2_late_snapshots(spark, folder):
+    """Three snapshots that arrive last, first, middle."""
+    args = ("order_id", "order_version_key", _ORDER_ATTRIBUTES)
+    arrived: list[DataFrame] = []
+    history = None
+    for delivery, stamp in ((2, LAST_TS), (1, FIRST_TS), (3, MIDDLE_TS)):
+        snapshot = stage(Shop(spark, folder, delivery).silver_batch("orders"), "snapshot")
+        later = _union(arrived) if arrived else None
+        history = stage(build_scd2_dimension(snapshot, *args, stamp, history, later), "history")
+        arrived.append(snapshot.select("order_id", F.lit(stamp).alias("seen")))
+    return history.drop("order_version_key")
+
+
 @query("scd2_change_detect")
 def scd2_change_detect(spark, folder):
     shop = Shop(spark, folder, 2)

@@ -20,7 +20,7 @@ from tidemark.sources.datasets import DATASETS, dataset
 from tidemark.sources.samples import Samples
 
 FIRST_DATE, LAST_DATE = "2024-01-15", "2024-01-31"
-FIRST_TS, LAST_TS = "2024-01-15 00:00:00", "2024-01-31 00:00:00"
+FIRST_TS, MIDDLE_TS, LAST_TS = "2024-01-15 00:00:00", "2024-01-20 00:00:00", "2024-01-31 00:00:00"
 
 
 class Shop:
