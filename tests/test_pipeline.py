@@ -146,3 +146,53 @@ def test_a_run_that_failed_before_the_mark_is_repeated(spark, sample, tmp_path):
         )
     assert seen[0] == seen[1]
     assert "date_key=20240120" in str(lake.read("gold", "fact_session").inputFiles())
+
+
+def test_late_data_sets_and_snapshots_are_taken_up(spark, sample, tmp_path):
+    """Reviews come a run late; a customer snapshot comes after its successor."""
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    first, second = Shop(spark, sample, 1), Shop(spark, sample, 2)
+
+    def run(shop, day, names):
+        for name in names:
+            pipeline.ingest_to_bronze(lake, day, name, shop.source(name))
+            pipeline.clean_silver(lake, day, name)
+
+    def build(day, tables):
+        return {t: pipeline.build_gold(lake, day, f"{day} 00:00:00", t) for t in tables}
+
+    run(first, "2024-01-15", ["customers", "products", "reviews"])
+    assert all(s.full for s in build("2024-01-15", ["dim_category", "dim_product", "dim_customer", "fact_review"]).values())
+    pipeline.update_watermark(lake)
+    # The next day brings the products alone, the common mark goes on.
+    run(second, "2024-01-31", ["products"])
+    states = build("2024-01-31", ["dim_category", "dim_product", "dim_customer", "fact_review"])
+    assert states["fact_review"].skip and states["dim_customer"].skip and states["dim_product"].since == "2024-01-15"
+    pipeline.update_watermark(lake)
+    assert pipeline.stored_watermark(lake) == "2024-01-31"
+    before = lake.read("gold", "fact_review").count()
+    # The reviews of that day, one run late.
+    run(second, "2024-01-31", ["reviews"])
+    assert build("2024-01-31", ["fact_review"])["fact_review"].since == "2024-01-15"
+    assert lake.read("gold", "fact_review").count() > before
+    pipeline.update_watermark(lake)
+    assert build("2024-01-31", ["fact_review"])["fact_review"].skip
+
+    # Customers of the 31st, then those of the 20th.
+    run(second, "2024-01-31", ["customers"])
+    build("2024-01-31", ["dim_customer"])
+    pipeline.update_watermark(lake)
+    run(first, "2024-01-20", ["customers"])
+    assert lake.read("silver", "customers").select("processed_date").distinct().count() == 1
+    want = sorted(map(str, lake.read("gold", "dim_customer").drop("customer_key").collect()))
+    assert build("2024-01-20", ["dim_customer"])["dim_customer"].since == "2024-01-20"
+    # They say what those of the 15th said.
+    assert sorted(map(str, lake.read("gold", "dim_customer").drop("customer_key").collect())) == want
+    assert build("2024-01-20", ["dim_customer"])["dim_customer"].skip
+    # Those of the 25th differ: versions that end on the 31st.
+    run(second, "2024-01-25", ["customers"])
+    build("2024-01-25", ["dim_customer"])
+    history = lake.read("gold", "dim_customer").where("name is not null")
+    assert history.where("effective_from = '2024-01-31 00:00:00'").isEmpty()
+    changed = history.where("effective_from = '2024-01-25 00:00:00'")
+    assert not changed.isEmpty() and changed.where("is_current").count() == changed.count()

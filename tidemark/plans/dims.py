@@ -88,7 +88,11 @@ def customer_attributes(customers: DataFrame, process_date: str) -> DataFrame:
 
 
 def dim_customer(
-    customers: DataFrame, process_date: str, process_ts: str, existing: DataFrame | None = None
+    customers: DataFrame,
+    process_date: str,
+    process_ts: str,
+    existing: DataFrame | None = None,
+    later: DataFrame | None = None,
 ) -> DataFrame:
     return build_scd2_dimension(
         customer_attributes(customers, process_date),
@@ -97,6 +101,7 @@ def dim_customer(
         CUSTOMER_ATTRIBUTES,
         process_ts,
         existing,
+        later,
     )
 
 
@@ -115,7 +120,11 @@ def product_attributes(products: DataFrame, dim_category: DataFrame) -> DataFram
 
 
 def dim_product(
-    products: DataFrame, dim_category: DataFrame, process_ts: str, existing: DataFrame | None = None
+    products: DataFrame,
+    dim_category: DataFrame,
+    process_ts: str,
+    existing: DataFrame | None = None,
+    later: DataFrame | None = None,
 ) -> DataFrame:
     return build_scd2_dimension(
         product_attributes(products, dim_category),
@@ -124,4 +133,5 @@ def dim_product(
         PRODUCT_ATTRIBUTES,
         process_ts,
         existing,
+        later,
     )

@@ -8,8 +8,8 @@ rows as a full one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,11 +34,14 @@ def read_on(silver: DataFrame, process_date: str | None = None) -> DataFrame:
     return silver.where(F.col("processed_date") == F.lit(process_date).cast("date"))
 
 
-def newer_than(watermark: str) -> Column:
+def newer_than(watermark: str | None) -> Column:
+    """Newer than the mark; without a mark, everything is."""
+    if watermark is None:
+        return F.lit(True)
     return F.col("processed_date") > F.lit(watermark).cast("date")
 
 
-def read_since(silver: DataFrame, watermark: str) -> DataFrame:
+def read_since(silver: DataFrame, watermark: str | None) -> DataFrame:
     """Silver rows newer than the mark; a table without processing dates has none."""
     if "processed_date" not in silver.columns:
         return silver.limit(0)
@@ -83,11 +86,15 @@ def upsert_watermark(table: DataFrame, marks: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class BuildState:
-    """What a Gold table needs: a full load, an increment, or nothing."""
+    """What a Gold table needs: a full load, an increment, or nothing.
+
+    ``since`` is the oldest mark of its sources, ``marks`` has the mark of each.
+    """
 
     full: bool = False
     skip: bool = False
     since: str | None = None
+    marks: Mapping[str, str | None] = field(default_factory=dict)
 
 
 def resolve_build_state(has_data: bool, latest: str | None, watermark: str | None) -> BuildState:
@@ -103,10 +110,31 @@ def resolve_build_state(has_data: bool, latest: str | None, watermark: str | Non
     return BuildState(since=watermark)
 
 
+def resolve_by_source(
+    has_data: bool, latest: Mapping[str, str | None], marks: Mapping[str, str | None]
+) -> BuildState:
+    """``resolve_build_state`` for a table with several sources, each with a mark of its own.
+
+    A source is new beyond its own mark only, so one that comes a run late is not hidden by the others. One
+    without a mark has not been used yet: all of it is new, once the table has any mark at all.
+    """
+    if not has_data:
+        return BuildState(full=True)
+    if not any(latest.values()):
+        return BuildState(skip=True)
+    if not any(marks.values()):
+        return BuildState(full=True)
+    if not any(day and day > (marks[name] or "") for name, day in latest.items()):
+        return BuildState(skip=True)
+    return BuildState(since=min(filter(None, marks.values())), marks=dict(marks))
+
+
 # --- facts from what changed --------------------------------------------------
 #
 # These take all Silver rows of a data set, invalid ones included, with their date alias: a correction
-# that makes a row invalid touches its object as well.
+# that makes a row invalid touches its object as well. ``marks`` has the mark of every data set they read.
+
+Marks = Mapping[str, str | None]
 
 
 @dataclass(frozen=True)
@@ -126,10 +154,12 @@ def _ids(key: str, *frames: DataFrame) -> DataFrame:
 
 
 def fact_order_since(
-    orders: DataFrame, order_items: DataFrame, dims: facts.Dims, watermark: str
+    orders: DataFrame, order_items: DataFrame, dims: facts.Dims, marks: Marks
 ) -> Delta:
     """Orders that are new or changed, or whose items are."""
-    touched = _ids("order_id", read_since(orders, watermark), read_since(order_items, watermark))
+    touched = _ids(
+        "order_id", read_since(orders, marks["orders"]), read_since(order_items, marks["order_items"])
+    )
     rows = facts.fact_order(
         valid_rows(orders).join(touched, "order_id", "left_semi"),
         valid_rows(order_items).join(touched, "order_id", "left_semi"),
@@ -139,13 +169,13 @@ def fact_order_since(
 
 
 def fact_order_item_since(
-    orders: DataFrame, order_items: DataFrame, dims: facts.Dims, watermark: str
+    orders: DataFrame, order_items: DataFrame, dims: facts.Dims, marks: Marks
 ) -> Delta:
     """Items that are new or changed, or whose order is."""
-    changed = _ids("order_id", read_since(orders, watermark)).withColumn("_changed", F.lit(True))
+    changed = _ids("order_id", read_since(orders, marks["orders"])).withColumn("_changed", F.lit(True))
     touched = (
         order_items.join(changed, "order_id", "left")
-        .where(newer_than(watermark) | F.col("_changed"))
+        .where(newer_than(marks["order_items"]) | F.col("_changed"))
         .drop("_changed")
     )
     rows = facts.fact_order_item(valid_rows(orders), valid_rows(touched), dims)
@@ -153,29 +183,29 @@ def fact_order_item_since(
 
 
 def fact_web_event_since(
-    events: DataFrame, sessions: DataFrame, dims: facts.Dims, watermark: str, held: DataFrame
+    events: DataFrame, sessions: DataFrame, dims: facts.Dims, marks: Marks, held: DataFrame
 ) -> Delta:
     """All events of sessions that changed, got events, or lost some.
 
     A new event also ends the dwell time of the event before it, so the sessions are
     taken whole. The stored fact ``held`` tells which session an event was in before.
     """
-    arrived = read_since(events, watermark)
+    arrived = read_since(events, marks["events"])
     left = held.join(arrived.select("event_id"), "event_id", "left_semi")
-    touched = _ids("session_id", arrived, read_since(sessions, watermark), left)
+    touched = _ids("session_id", arrived, read_since(sessions, marks["sessions"]), left)
     rows = facts.fact_web_event(
         valid_rows(events).join(touched, "session_id", "left_semi"), valid_rows(sessions), dims
     )
     return Delta(rows, touched)
 
 
-def fact_review_since(reviews: DataFrame, dims: facts.Dims, watermark: str) -> Delta:
+def fact_review_since(reviews: DataFrame, dims: facts.Dims, marks: Marks) -> Delta:
     """New or changed reviews."""
-    arrived = read_since(reviews, watermark)
+    arrived = read_since(reviews, marks["reviews"])
     return Delta(facts.fact_review(valid_rows(arrived), dims), arrived.select("review_id"))
 
 
-def fact_session_since(sessions: DataFrame, dims: facts.Dims, watermark: str) -> Delta:
+def fact_session_since(sessions: DataFrame, dims: facts.Dims, marks: Marks) -> Delta:
     """New or changed sessions."""
-    arrived = read_since(sessions, watermark)
+    arrived = read_since(sessions, marks["sessions"])
     return Delta(facts.fact_session(valid_rows(arrived), dims), arrived.select("session_id"))

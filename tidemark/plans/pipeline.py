@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
+from functools import reduce
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import resolve_surrogates
+from tidemark.functions import format_timestamp
+from tidemark.operators.merge import merge_upsert, resolve_surrogates
 from tidemark.operators.staging import stage, staging_run
 from tidemark.plans import bronze, dims, facts, incremental, silver
 from tidemark.plans.incremental import PIPELINE_NAME, WATERMARK_SCHEMA, BuildState
@@ -20,6 +24,23 @@ WATERMARK = "pipeline_watermark"
 STATIC = tuple(dims.STATIC_DIMENSIONS)
 DIMENSIONS = ("dim_date", *STATIC, "dim_customer", "dim_product")
 GOLD_TABLES = (*DIMENSIONS, *facts.FACTS)
+# A mark per data set, and the snapshots that histories have taken up.
+SOURCE_MARKS = "source_watermarks"
+HISTORY_RUNS = "history_runs"
+HISTORIES = {"dim_customer": ("customers", "customer_id"), "dim_product": ("products", "product_id")}
+
+# Data sets that every Gold table is built from.
+SOURCES: dict[str, tuple[str, ...]] = {
+    "dim_date": tuple(DATASETS),
+    **{name: (spec[0],) for name, spec in dims.STATIC_DIMENSIONS.items()},
+    **{name: (source,) for name, (source, _) in HISTORIES.items()},
+    "fact_order": ("orders", "order_items"),
+    "fact_order_item": ("orders", "order_items"),
+    "fact_web_event": ("events", "sessions"),
+    "fact_review": ("reviews",),
+    "fact_session": ("sessions",),
+    "fact_customer_funnel": ("events", "sessions", "orders", "order_items", "customers", "products"),
+}
 
 # Facts that have a day are stored by day: a merge then rewrites few partitions.
 FACT_PARTITION = "date_key"
@@ -86,7 +107,8 @@ def clean_silver(lake: Lakehouse, process_date: str, name: str) -> None:
     """Clean one Bronze delivery into its Silver table.
 
     Snapshots replace the table; one that was never delivered is refused, since it would
-    empty the table. Others are upserted into a table partitioned by processing date, so
+    empty the table, and one older than the table's leaves it as it is (histories read it from
+    Bronze). Others are upserted into a table partitioned by processing date, so
     that an incremental read prunes to the new partitions. Cleaning a day again replaces
     that day's rows, and an older day changes no row that a newer one wrote.
     """
@@ -97,7 +119,9 @@ def clean_silver(lake: Lakehouse, process_date: str, name: str) -> None:
         read_bronze(lake, name, check_date(process_date)), name, process_date
     )
     if spec.snapshot:
-        lake.overwrite(rows, "silver", name)
+        held = latest_silver_dates(lake, [name])[name]
+        if held is None or held <= process_date:
+            lake.overwrite(rows, "silver", name)
     else:
         lake.merge(
             rows,
@@ -122,69 +146,138 @@ def stored_watermark(lake: Lakehouse) -> str | None:
     return None if mark is None else mark.isoformat()
 
 
-def latest_silver_date(lake: Lakehouse) -> str | None:
-    """Newest processing date over the Silver tables.
+def latest_silver_dates(lake: Lakehouse, names: Iterable[str] = DATASETS) -> dict[str, str | None]:
+    """Newest processing date of each data set's Silver table.
 
     Tables partitioned by it answer from their folder names; only snapshots are read.
     """
-    dates: list[str] = []
-    unlisted: list[DataFrame] = []
-    for name in DATASETS:
+    dates: dict[str, str | None] = {}
+    unlisted: dict[str, DataFrame] = {}
+    for name in names:
+        dates[name] = None
         listed = lake.partition_values("silver", name, "processed_date")
         if listed is not None:
-            dates.extend(listed)
-        elif (table := lake.read_optional("silver", name)) is not None:
-            unlisted.append(table)
+            dates[name] = max(listed)
+        elif (table := lake.read_optional("silver", name)) is not None and "processed_date" in table.columns:
+            unlisted[name] = table
     if unlisted:
-        latest = incremental.latest_process_date(unlisted).first()[0]
-        dates.extend([] if latest is None else [latest.isoformat()])
-    return max(dates, default=None)
+        each = [t.select(F.lit(n).alias("name"), F.col("processed_date").alias("day")) for n, t in unlisted.items()]
+        for row in reduce(DataFrame.unionByName, each).groupBy("name").agg(F.max("day").alias("day")).collect():
+            dates[row["name"]] = None if row["day"] is None else row["day"].isoformat()
+    return dates
+
+
+def latest_silver_date(lake: Lakehouse) -> str | None:
+    """Newest processing date over the Silver tables."""
+    return max(filter(None, latest_silver_dates(lake).values()), default=None)
+
+
+def stored_marks(lake: Lakehouse) -> dict[str, str | None]:
+    """The mark of every data set; a lake from before there were any has the common one for all."""
+    table = lake.read_optional("gold", SOURCE_MARKS)
+    if table is None:
+        return dict.fromkeys(DATASETS, stored_watermark(lake))
+    held = {r["data_set"]: r["last_process_date"].isoformat() for r in table.collect()}
+    return {name: held.get(name) for name in DATASETS}
 
 
-def update_watermark(lake: Lakehouse, latest: str | None = None) -> None:
-    """Advance the mark to ``latest``, by default the newest Silver date, if there is one.
+def update_watermark(lake: Lakehouse, latest: Mapping[str, str | None] | None = None) -> None:
+    """Advance the marks to ``latest`` by data set, by default the newest Silver dates.
 
-    A run passes the date it has read up to: Silver written meanwhile is left to the next.
+    A run passes the dates it has read up to: Silver written meanwhile is left to the next.
+    The common mark is the newest one.
     """
-    latest = latest or latest_silver_date(lake)
-    if latest is None:
+    latest = latest or latest_silver_dates(lake)
+    days = {name: day for name, day in latest.items() if day}
+    if not days:
         return
     mark = lake.spark.range(1).select(
         F.lit(PIPELINE_NAME).alias("pipeline_name"),
-        F.lit(latest).cast("date").alias("last_process_date"),
+        F.lit(max(days.values())).cast("date").alias("last_process_date"),
         F.current_timestamp().alias("updated_at"),
     )
     held = lake.read_optional("gold", WATERMARK)
     if held is None:
         held = lake.spark.createDataFrame([], WATERMARK_SCHEMA)
+    rows = [(name, date.fromisoformat(day)) for name, day in days.items()]
+    marks = lake.spark.createDataFrame(rows, "data_set string, last_process_date date")
+    known = lake.read_optional("gold", SOURCE_MARKS)
+    if known is not None:
+        marks = merge_upsert(known, marks, ["data_set"])
+    lake.overwrite(marks, "gold", SOURCE_MARKS)
     lake.overwrite(incremental.upsert_watermark(held, mark), "gold", WATERMARK)
 
 
-Marks = tuple[str | None, str | None]
+Marks = tuple[dict[str, str | None], dict[str, str | None]]
 
 
 def read_marks(lake: Lakehouse) -> Marks:
-    """Newest Silver date and stored Gold mark."""
-    return latest_silver_date(lake), stored_watermark(lake)
+    """Newest Silver dates and stored marks, by data set."""
+    return latest_silver_dates(lake), stored_marks(lake)
 
 
 def build_state(lake: Lakehouse, table: str, marks: Marks | None = None) -> BuildState:
     """What ``table`` needs; ``marks`` spares reading them once more."""
     if not lake.has_rows("gold", table):
         return BuildState(full=True)
-    return incremental.resolve_build_state(True, *(marks or read_marks(lake)))
+    latest, held = marks or read_marks(lake)
+    names = SOURCES[table]
+    return incremental.resolve_by_source(True, {n: latest[n] for n in names}, {n: held[n] for n in names})
+
+
+def _history_runs(lake: Lakehouse, table: str) -> dict[str, str]:
+    """Stamps of the snapshots that a history has taken up, by their date."""
+    runs = lake.read_optional("gold", HISTORY_RUNS)
+    if runs is None:
+        return {}
+    return {r["process_date"]: r["process_ts"] for r in runs.where(F.col("table_name") == table).collect()}
+
+
+def _is_late(lake: Lakehouse, table: str, process_date: str) -> bool:
+    """Whether a snapshot lies in Bronze that a history with newer ones has not taken up."""
+    if table not in HISTORIES:
+        return False
+    delivered = lake.partition_values("bronze", HISTORIES[table][0], "ingest_date") or ()
+    runs = _history_runs(lake, table)
+    return process_date in delivered and process_date not in runs and max(runs, default="") > process_date
+
+
+def _history(lake: Lakehouse, table: str, process_date: str, process_ts: str) -> DataFrame:
+    """A dimension with history after one more snapshot, which may be older than others."""
+    existing = lake.read_optional("gold", table)
+    name, key = HISTORIES[table]
+    rows, later = lake.read("silver", name), None
+    after = {day: ts for day, ts in _history_runs(lake, table).items() if day > process_date}
+    if existing is not None and after:
+        rows = silver.to_silver(read_bronze(lake, name, process_date), name, process_date)
+        # Which keys the newer snapshots held: keys and dates only.
+        delivered = lake.read("bronze", name).where(F.col("ingest_date").isin(*map(date.fromisoformat, after)))
+        stamps = F.create_map(*(F.lit(x) for day, ts in after.items() for x in (day, ts)))
+        stamp = format_timestamp(stamps[F.col("ingest_date").cast("string")].cast("timestamp_ntz"))
+        later = delivered.select(key, stamp.alias("seen"))
+    if table == "dim_customer":
+        return dims.dim_customer(rows, process_date, process_ts, existing, later)
+    return dims.dim_product(rows, lake.read("gold", "dim_category"), process_ts, existing, later)
+
+
+_REGISTRY = Lock()
+
+
+def _keep_run(lake: Lakehouse, table: str, process_date: str, process_ts: str) -> None:
+    run = lake.spark.createDataFrame(
+        [(table, process_date, process_ts)], "table_name string, process_date string, process_ts string"
+    )
+    # Histories are built side by side and share the table.
+    with _REGISTRY:
+        lake.merge(run, "gold", HISTORY_RUNS, ["table_name", "process_date"])
 
 
 def _dimension(lake: Lakehouse, table: str, process_date: str, process_ts: str) -> DataFrame:
     existing = lake.read_optional("gold", table)
     if table == "dim_date":
         return dims.dim_date(lake.spark)
-    if table == "dim_customer":
-        return dims.dim_customer(lake.read("silver", "customers"), process_date, process_ts, existing)
-    if table == "dim_product":
-        return dims.dim_product(
-            lake.read("silver", "products"), lake.read("gold", "dim_category"), process_ts, existing
-        )
+    if table in HISTORIES:
+        return _history(lake, table, process_date, process_ts)
     return dims.static_dimension(
         table, lake.read("silver", dims.STATIC_DIMENSIONS[table][0]), existing
     )
@@ -231,7 +324,7 @@ def _fact(lake: Lakehouse, table: str, state: BuildState, by_day: bool) -> None:
         lake.overwrite(rows, "gold", table, partition)
         return
     held = lake.read("gold", table)
-    delta = SINCE[table](dated, tables, state.since, held)
+    delta = SINCE[table](dated, tables, state.marks, held)
     scope = stage(delta.scope, f"scope-{table}")
     if scope.isEmpty():
         return
@@ -256,10 +349,14 @@ def build_gold(
     if table not in GOLD_TABLES:
         raise ValueError(f"unknown Gold table {table!r}; known: {', '.join(sorted(GOLD_TABLES))}")
     state = build_state(lake, table, marks)
+    if state.skip and _is_late(lake, table, process_date):
+        state = BuildState(since=process_date)
     if state.skip:
         return state
     if table in DIMENSIONS:
         lake.overwrite(_dimension(lake, table, process_date, process_ts), "gold", table)
+        if table in HISTORIES:
+            _keep_run(lake, table, process_date, process_ts)
     else:
         _fact(lake, table, state, by_day)
     return state
@@ -279,13 +376,14 @@ def run_pipeline(
     ingested_at: Column | None = None,
     by_day: bool = True,
     at_once: int = 4,
+    names: Iterable[str] = DATASETS,
 ) -> None:
-    """One run over all data sets: ``source`` gives each by name."""
+    """One run over the data sets that have arrived, by default all: ``source`` gives each by name."""
 
     def ingest(name: str) -> None:
         ingest_to_bronze(lake, process_date, name, source(name), ingested_at)
 
-    _run(lake, process_date, process_ts, ingest, by_day, at_once)
+    _run(lake, process_date, process_ts, ingest, by_day, at_once, names)
 
 
 def _run(
@@ -295,8 +393,9 @@ def _run(
     ingest: Callable[[str], object],
     by_day: bool = True,
     at_once: int = 4,
+    names: Iterable[str] = DATASETS,
 ) -> None:
-    """Ingest, clean and build everything.
+    """Ingest and clean the named data sets, and build everything that has its sources.
 
     Tables of one group do not depend on each other and are built side by side. The
     mark advances last, so a run that fails is simply repeated.
@@ -309,13 +408,12 @@ def _run(
         build_gold(lake, process_date, process_ts, table, by_day, marks)
 
     with staging_run(lake.spark):
-        _each(ingest, DATASETS, at_once)
-        _each(refine, DATASETS, at_once)
+        _each(ingest, names, at_once)
+        _each(refine, names, at_once)
         marks = read_marks(lake)
         for group in (("dim_date", *STATIC), ("dim_customer", "dim_product"), tuple(facts.FACTS)):
             _each(build, group, at_once)
-        if marks[0] is not None:
-            update_watermark(lake, marks[0])
+        update_watermark(lake, marks[0])
 
 
 def run_csv_pipeline(

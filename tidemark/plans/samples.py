@@ -136,7 +136,8 @@ class Shop:
 
     def fact_delta(self, name: str, held: DataFrame) -> incremental.Delta:
         """Unnumbered rows of the increment since the first delivery, which gave ``held``."""
-        return SINCE[name](self.dated, self.dims(facts.FACTS[name].dimensions), FIRST_DATE, held)
+        marks = dict.fromkeys(DATASETS, FIRST_DATE)
+        return SINCE[name](self.dated, self.dims(facts.FACTS[name].dimensions), marks, held)
 
     def silver_tables(self) -> dict[str, DataFrame]:
         return {name: self.silver(name) for name in DATASETS}
