@@ -20,7 +20,7 @@ from tidemark.operators.dimensions import (
 )
 from tidemark.operators.history import build_scd2_dimension, current_rows, detect_changes
 from tidemark.operators.keys import assign_keys, max_key
-from tidemark.operators.lookup import attach_dimension_key
+from tidemark.operators.lookup import attach_dimension, attach_dimension_key
 from tidemark.operators.merge import merge_preserving_keys, merge_upsert
 from tidemark.operators.sequence import next_in_group
 from tidemark.operators.staging import stage
@@ -360,12 +360,11 @@ def _brute_force(data):
     return expected
 
 
-@pytest.mark.parametrize("max_group_rows", [10_000, 100, 1])
-def test_dwell_time_with_and_without_hot_sessions(spark, max_group_rows):
+def test_dwell_time_with_hot_sessions(spark):
     data, df = _events(spark)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        timed = event_duration(df.repartition(5), max_group_rows).collect()
+        timed = event_duration(df.repartition(5)).collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert {r["event_id"]: r["duration"] for r in timed} == _brute_force(data)
@@ -373,10 +372,34 @@ def test_dwell_time_with_and_without_hot_sessions(spark, max_group_rows):
 
 def test_next_row_with_null_groups_and_no_rows(spark):
     df = _table(spark, [(None, 1), (None, 3), (1, 2)], "g int, o int")
-    for limit in (100, 1):
-        assert rows(next_in_group(df, "g", ["o"], "o", "n", limit)) == [
-            (1, 2, None),
-            (None, 1, 3),
-            (None, 3, None),
-        ]
+    assert rows(next_in_group(df, "g", ["o"], "o", "n")) == [
+        (1, 2, None),
+        (None, 1, 3),
+        (None, 3, None),
+    ]
     assert next_in_group(df.limit(0), "g", ["o"], "o", "n").count() == 0
+
+
+# --- dimensions by key ------------------------------------------------------------
+
+
+def test_rows_without_a_key_and_hot_keys_are_spread(spark):
+    data = [(i, None if i % 2 else 1 if i % 4 else 2 + i % 40) for i in range(4000)]
+    df = _table(spark, data, "id int, k int")
+    dim = _table(spark, [(k, f"n{k}") for k in range(30)], "k int, name string")
+    want = rows(_table(spark, [(i, k, f"n{k}" if k is not None and k < 30 else None) for i, k in data], "id int, k int, name string"))
+    assert rows(attach_dimension(df, dim, "k")) == want
+    settings_ = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    held = {k: spark.conf.get(k) for k in settings_}
+    for k, v in settings_.items():
+        spark.conf.set(k, v)
+    try:
+        for hot, most in (((), 1000 + 400), ((1,), 600)):
+            joined = attach_dimension(df, dim, "k", hot)
+            assert rows(joined) == want
+            # By key alone one task would hold 2000 rows without a key, and one 1000 of the hot key.
+            assert max(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()) < most
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert attach_dimension(df.limit(0), dim, "k").count() == 0

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.staging import stage
@@ -39,6 +38,23 @@ def place_by_range(df: DataFrame, order: Sequence[str], label: str) -> DataFrame
     )
 
 
+def with_row_id(df: DataFrame, label: str) -> DataFrame:
+    """Written copy of ``df`` with ``_row``, a number that identifies each row and stays."""
+    return stage(df.withColumn("_row", F.monotonically_increasing_id()), label)
+
+
+def number_rows(rows: DataFrame, key: str, order: Sequence[str], start_at: int = 0) -> DataFrame:
+    """Rows ``_row, <key>``: the place of every row in ``order``, from ``start_at + 1`` on.
+
+    Takes the order columns and ``_row`` along and nothing else. Each range partition numbers its own rows, and
+    a table of partition sizes, one row each, turns local numbers into global ones.
+    """
+    placed = place_by_range(rows.select("_row", *order), order, f"keys-{key}")
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    return placed.join(before, "_part").select("_row", (F.col("_place") + F.col("_before") + start_at + 1).alias(key))
+
+
 def assign_keys(
     df: DataFrame,
     key: str,
@@ -48,14 +64,8 @@ def assign_keys(
     """Add a dense BIGINT key ``start_at + 1, start_at + 2, …`` in ``order``.
 
     ``order`` has to identify a row. The numbering equals ``row_number()`` over the
-    whole table but needs no single task: each range partition numbers its own rows,
-    and the partition sizes turn local numbers into global ones. The placed rows are
-    written once, so both passes see the same partitions even after a retry. Only
-    one number per partition passes through the driver.
+    whole table but needs no single task. The rows are written once; only their order columns
+    are sorted, and whole rows move a single time, when they meet their number.
     """
-    placed = place_by_range(df, order, f"keys-{key}")
-    sizes = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}
-    parts = range(max(sizes, default=0) + 1)
-    before = list(accumulate((sizes.get(p, 0) for p in parts), initial=start_at))
-    offset = F.get(F.array(*[F.lit(n).cast("bigint") for n in before]), F.col("_part"))
-    return placed.withColumn(key, F.col("_place") + offset + F.lit(1)).select(key, *df.columns)
+    rows = with_row_id(df, f"rows-{key}")
+    return rows.join(number_rows(rows, key, order, start_at), "_row").select(key, *df.columns)

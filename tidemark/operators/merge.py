@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import assign_keys, max_key
+from tidemark.operators.keys import max_key, number_rows, with_row_id
 from tidemark.operators.staging import stage
 
 
@@ -88,27 +88,26 @@ def resolve_surrogates(
 ) -> DataFrame:
     """Give incoming rows the target's surrogate keys, and new ones after its maximum.
 
-    The target is read for its key columns only, reduced to the incoming keys. New
-    rows are numbered in key order.
+    Both tables are matched on their key columns alone: the target's are reduced to the incoming ones,
+    and new keys are numbered in key order. Incoming rows are written once and move once, to meet
+    their number.
     """
     keys = list(keys)
     rows = incoming.drop(surrogate)
-    staged = stage(rows, f"incoming-{surrogate}")
+    staged = with_row_id(rows, f"incoming-{surrogate}")
+    sent = staged.select("_row", *keys)
     known = (
         target.select(*keys, F.col(surrogate).alias("_known"))
-        .join(staged.select(*keys), keys, "left_semi")
+        .join(sent.select(*keys), keys, "left_semi")
         .groupBy(*keys)
         .agg(F.min("_known").alias("_known"))
     )
-    resolved = stage(staged.join(known, keys, "left"), f"resolved-{surrogate}")
-    old = resolved.where(F.isnotnull("_known")).withColumnRenamed("_known", surrogate)
-    new = assign_keys(
-        resolved.where(F.isnull("_known")).drop("_known"),
-        surrogate,
-        keys,
-        max_key(target, surrogate),
+    resolved = stage(sent.join(known, keys, "left"), f"resolved-{surrogate}")
+    old = resolved.where(F.isnotnull("_known")).select("_row", F.col("_known").alias(surrogate))
+    new = number_rows(
+        resolved.where(F.isnull("_known")), surrogate, keys, max_key(target, surrogate)
     )
-    return old.unionByName(new).select(surrogate, *rows.columns)
+    return staged.join(old.unionByName(new), "_row").select(surrogate, *rows.columns)
 
 
 def merge_preserving_keys(

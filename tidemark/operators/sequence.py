@@ -8,51 +8,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import place_by_range
-from tidemark.operators.staging import stage
-
-# A group up to this many rows is sorted by one task.
-MAX_GROUP_ROWS = 2_000_000
 
 
 def next_in_group(
-    df: DataFrame,
-    group: str,
-    order: Sequence[str],
-    value: str,
-    output: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, group: str, order: Sequence[str], value: str, output: str
 ) -> DataFrame:
     """Add ``value`` of the next row of the same group, NULL on the last one.
 
-    ``order`` has to identify a row within its group. Groups are measured first (a
-    count with map-side combine over one column). Ordinary groups take one window;
-    groups beyond ``max_group_rows`` are spread over many tasks by range instead.
+    ``order`` has to identify a row within its group. Rows are spread by range of group and order, so a
+    group may be of any size: each task looks at its own neighbours, and the last row of a
+    partition gets the first row of the next one, from a table with one row per partition.
     """
-    big = df.groupBy(group).count().where(F.col("count") > max_group_rows).select(group)
-    big = stage(big, f"big-{group}")
-    if big.isEmpty():
-        return _next_by_window(df, group, order, value, output)
-    same = df[group].eqNullSafe(big[group])
-    rest = _next_by_window(df.join(big, same, "left_anti"), group, order, value, output)
-    spread = _next_by_range(df.join(big, same, "left_semi"), group, order, value, output)
-    return rest.unionByName(spread)
-
-
-def _next_by_window(df, group, order, value, output):
-    return df.withColumn(output, F.lead(value).over(Window.partitionBy(group).orderBy(*order)))
-
-
-def _next_by_range(df, group, order, value, output):
     placed = place_by_range(df, [group, *order], f"next-{group}")
     pair = F.struct(F.col(group).alias("g"), F.col(value).alias("v"))
     inside = Window.partitionBy("_part").orderBy("_place")
-    # One row per partition: the first row of the next partition that has any.
     following = placed.where("_place = 0").select(
         "_part", F.lead(pair).over(Window.orderBy("_part")).alias("_after")
     )
-    reached = placed.withColumn("_next", F.lead(pair).over(inside)).join(
-        F.broadcast(following), "_part", "left"
-    )
+    reached = placed.withColumn("_next", F.lead(pair).over(inside)).join(following, "_part", "left")
     following_row = F.coalesce("_next", "_after")
     return reached.withColumn(
         output, F.when(following_row["g"].eqNullSafe(F.col(group)), following_row["v"])

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import cents, format_timestamp, money, seconds_between
 from tidemark.operators.history import current_rows
 from tidemark.operators.keys import assign_keys
-from tidemark.operators.lookup import attach_dimension_key
-from tidemark.operators.sequence import MAX_GROUP_ROWS, next_in_group
+from tidemark.operators.lookup import attach_dimension, attach_dimension_key
+from tidemark.operators.sequence import next_in_group
+from tidemark.operators.staging import stage
 
 Dims = Mapping[str, DataFrame]
 
@@ -195,7 +196,7 @@ def order_costs(order_items: DataFrame, dims: Dims) -> DataFrame:
     """Cost of each order's items at current product cost; unknown cost counts as 0."""
     return (
         order_items.select("order_id", "product_id", "quantity")
-        .join(_products(dims, "cost_usd"), "product_id", "left")
+        .transform(attach_dimension, _products(dims, "cost_usd"), "product_id")
         .groupBy("order_id")
         .agg(
             F.sum(_item_cost()).alias("order_cost_usd"),
@@ -206,10 +207,8 @@ def order_costs(order_items: DataFrame, dims: Dims) -> DataFrame:
 
 def fact_order(orders: DataFrame, order_items: DataFrame, dims: Dims) -> DataFrame:
     """One row per order. Orders without items keep their whole total as margin."""
-    rows = orders.join(order_costs(order_items, dims), "order_id", "left").join(
-        _customer_keys(dims), "customer_id", "left"
-    )
-    rows = _date_key(rows, dims, "order_date")
+    rows = orders.join(order_costs(order_items, dims), "order_id", "left")
+    rows = _date_key(attach_dimension(rows, _customer_keys(dims), "customer_id"), dims, "order_date")
     for member in ("country", "source", "device", "payment_method"):
         rows = _member_key(rows, dims, member, member)
     rest = F.coalesce(F.col("inexact_cost_usd"), F.lit(0.0))
@@ -235,8 +234,8 @@ def fact_order_item(orders: DataFrame, order_items: DataFrame, dims: Dims) -> Da
     """One row per order and product, for items of valid orders."""
     rows = (
         order_items.join(orders.select("order_id", "customer_id", "order_date"), "order_id")
-        .join(_customer_keys(dims), "customer_id", "left")
-        .join(_products(dims, "product_key", "cost_usd"), "product_id", "left")
+        .transform(attach_dimension, _customer_keys(dims), "customer_id")
+        .transform(attach_dimension, _products(dims, "product_key", "cost_usd"), "product_id")
     )
     rest = _inexact_cost()
     margin = F.when(rest == 0, money("computed_line_total") - _item_cost())
@@ -254,11 +253,9 @@ def fact_order_item(orders: DataFrame, order_items: DataFrame, dims: Dims) -> Da
     )
 
 
-def event_duration(events: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def event_duration(events: DataFrame) -> DataFrame:
     """Add ``duration``: seconds until the session's next event, 0 for the last one."""
-    timed = next_in_group(
-        events, "session_id", ["timestamp", "event_id"], "timestamp", "_next", max_group_rows
-    )
+    timed = next_in_group(events, "session_id", ["timestamp", "event_id"], "timestamp", "_next")
     dwell = F.greatest(seconds_between("timestamp", "_next"), F.lit(0))
     return timed.withColumn("duration", F.coalesce(dwell, F.lit(0)).cast("double")).drop("_next")
 
@@ -268,10 +265,10 @@ def fact_web_event(events: DataFrame, sessions: DataFrame, dims: Dims) -> DataFr
     needed = events.select(
         "event_id", "session_id", "timestamp", "event_type", "product_id", "event_date"
     )
-    # Window and join share the partitioning by session; groups are measured without the join.
     timed = events_with_customer(event_duration(needed), sessions)
-    rows = timed.join(_customer_keys(dims), "customer_id", "left").join(
-        _products(dims, "product_key"), "product_id", "left"
+    # Checkouts and purchases have no product.
+    rows = timed.transform(attach_dimension, _customer_keys(dims), "customer_id").transform(
+        attach_dimension, _products(dims, "product_key"), "product_id"
     )
     return _date_key(rows, dims, "event_date").select(
         "event_id",
@@ -286,14 +283,14 @@ def fact_web_event(events: DataFrame, sessions: DataFrame, dims: Dims) -> DataFr
 
 def fact_review(reviews: DataFrame, dims: Dims) -> DataFrame:
     """One row per review."""
-    return reviews.join(_products(dims, "product_key"), "product_id", "left").select(
+    return attach_dimension(reviews, _products(dims, "product_key"), "product_id").select(
         "review_id", "order_id", "product_key", "rating", "review_text", "review_date"
     )
 
 
 def fact_session(sessions: DataFrame, dims: Dims) -> DataFrame:
     """One row per session."""
-    rows = sessions.join(_customer_keys(dims), "customer_id", "left")
+    rows = attach_dimension(sessions, _customer_keys(dims), "customer_id")
     rows = _date_key(rows, dims, "session_date")
     for member in ("device", "source", "country"):
         rows = _member_key(rows, dims, member, member)
@@ -348,13 +345,14 @@ def first_purchases(events: DataFrame, orders: DataFrame, order_items: DataFrame
     (semi join): no session and order pairs are produced. The distinct step shares the
     join's partitioning and folds a busy customer's events before they move.
     """
-    purchases = (
-        events.where("event_type = 'purchase'")
-        .select("customer_id", F.col("timestamp").alias("order_time"))
-        .distinct()
-    )
+    instants = events.where("event_type = 'purchase'").select("customer_id", F.col("timestamp").alias("order_time"))
+    return purchase_dates(instants.distinct(), orders, order_items)
+
+
+def purchase_dates(instants: DataFrame, orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """First purchase date per customer and product, from the instants at which customers bought."""
     bought = orders.select("order_id", "customer_id", "order_time", "order_date").join(
-        purchases, ["customer_id", "order_time"], "left_semi"
+        instants, ["customer_id", "order_time"], "left_semi"
     )
     return (
         bought.join(order_items.select("order_id", "product_id"), "order_id")
@@ -363,6 +361,28 @@ def first_purchases(events: DataFrame, orders: DataFrame, order_items: DataFrame
     )
 
 
+def funnel_steps(events: DataFrame) -> DataFrame:
+    """First views and carts per customer and product, and purchase instants per customer, in one aggregation.
+
+    Views and carts are rows with ``product_id``, purchases rows with ``order_time``.
+    """
+    kind = F.col("event_type")
+    bought = (kind == "purchase") & F.isnotnull("timestamp")
+    touched = kind.isin("page_view", "add_to_cart") & F.isnotnull("product_id")
+    return (
+        events.where(bought | touched)
+        .groupBy(
+            "customer_id",
+            F.when(touched, F.col("product_id")).alias("product_id"),
+            F.when(bought, F.col("timestamp")).alias("order_time"),
+        )
+        .agg(
+            F.min(F.when(kind == "page_view", F.col("event_date"))).alias("first_view_date"),
+            F.min(F.when(kind == "add_to_cart", F.col("event_date"))).alias("first_add_to_cart_date"),
+        )
+    )
+
+
 def funnel_pairs(touches: DataFrame, purchases: DataFrame) -> DataFrame:
     """Customer and product pairs that reached any step."""
     pair = ["customer_id", "product_id"]
@@ -372,11 +392,15 @@ def funnel_pairs(touches: DataFrame, purchases: DataFrame) -> DataFrame:
 def fact_customer_funnel(
     events: DataFrame, sessions: DataFrame, orders: DataFrame, order_items: DataFrame, dims: Dims
 ) -> DataFrame:
-    """First view, cart and purchase per customer and product, both known."""
-    visits = events_with_customer(events, sessions)
+    """First view, cart and purchase per customer and product, both known.
+
+    Events are read and joined to their sessions once; their steps, far fewer, are written and read by kind.
+    """
+    steps = stage(funnel_steps(events_with_customer(events, sessions)), "funnel-steps")
+    touches = steps.where(F.isnotnull("product_id")).drop("order_time")
+    instants = steps.where(F.isnotnull("order_time")).select("customer_id", "order_time")
     rows = (
-        first_touches(visits)
-        .join(first_purchases(visits, orders, order_items), ["customer_id", "product_id"], "full_outer")
+        touches.join(purchase_dates(instants, orders, order_items), ["customer_id", "product_id"], "full_outer")
         .join(_customer_keys(dims), "customer_id")
         .join(_products(dims, "product_key"), "product_id")
     )
