@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tidemark.llm import components as graph
 from tidemark.llm import mixing, queries, tokens, toxicity
-from tidemark.llm.embeddings import near_embeddings
+from tidemark.llm.embeddings import near_embeddings, visits_for
 from tidemark.llm.jaccard import choose_bands, similar_texts
 from tidemark.llm.language import identify_language
 from tidemark.llm.packing import Limits, Packer, pack_documents, pack_sequences
@@ -158,27 +158,43 @@ def test_embeddings_equal_brute_force(spark, sample):
     ids = [i for i, _ in data]
     root = components(ids, [(ids[a], ids[b]) for a, b in zip(*np.nonzero(close))])
     found, wanted = sum(rows[i].n_links for i in ids), int(close.sum())
-    assert 0.9 * wanted <= found <= wanted
+    assert 0.98 * wanted <= found <= wanted
     assert np.mean([rows[i].component_id == root[i] for i in ids]) > 0.95
     for r in odd.collect():
         assert rows[r.vec_id].n_links == 0 and rows[r.vec_id].component_id == r.vec_id and rows[r.vec_id].kept
     assert near_embeddings(df.limit(0)).collect() == []
 
 
-def test_embeddings_of_a_hot_group_and_many_cells_miss_no_link(spark):
+def test_embeddings_of_a_hot_group_and_many_cells(spark):
+    """Recall of noisy copies with 300 cells; what is linked is linked rightly."""
     rng = np.random.default_rng(8)
     x = rng.normal(size=(1500, 64))
     x[:500] = x[0] + 0.2 * rng.normal(size=(500, 64))  # near copies, a third of all
-    x[1300:] = x[600:800] + 0.3 * rng.normal(size=(200, 64))  # pairs
+    x[1100:] = x[600:1000] + 0.42 * rng.normal(size=(400, 64))  # pairs around the threshold
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     close = x @ x.T >= 0.9
     np.fill_diagonal(close, False)
+    assert close[:500].sum() > 200_000 and 200 < close[500:].sum() < 800
+    got = {r.vec_id: r for r in near_embeddings(df, cell_rows=5, block=32).collect()}
+    links = np.array([got[i].n_links for i in range(1500)])
+    assert (links <= close.sum(axis=1)).all()
+    assert links[:500].sum() >= 0.99 * close[:500].sum() and links[500:].sum() >= 0.95 * close[500:].sum()
     root = components(range(1500), list(zip(*np.nonzero(close))))
-    assert close.sum() > 200_000
-    for r in near_embeddings(df, cell_rows=5, block=32).collect():  # 300 cells
-        want = (close[r.vec_id].sum(), root[r.vec_id], root[r.vec_id] == r.vec_id)
-        assert (r.n_links, r.component_id, r.kept) == want
+    for i in range(1500):
+        if links[i] == close[i].sum():
+            # Whole groups that lost no link have their right component.
+            members = [j for j in range(1500) if root[j] == root[i]]
+            if all(links[j] == close[j].sum() for j in members):
+                assert (got[i].component_id, got[i].kept) == (root[i], root[i] == i)
+
+
+def test_tries_grow_slower_than_cells():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tries = [visits_for(x, y / np.linalg.norm(y, axis=1, keepdims=True), 0.9, 0.99) for y in (rng.normal(size=(k, 64)) for k in (1, 8, 64, 512))]
+    assert tries[0] == 0 and tries == sorted(tries) and tries[1] <= 7 and tries[2] <= 24 and tries[3] <= 80
 
 
 def test_queries_equal_sql(spark, sample):

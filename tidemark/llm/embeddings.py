@@ -67,6 +67,7 @@ def near_embeddings(
     sample: int = 50_000,
     rounds: int = 4,
     block: int = 1024,
+    recall: float = 0.99,
 ) -> DataFrame:
     """Link vectors with cosine >= ``threshold`` and keep one of each linked group.
 
@@ -74,16 +75,17 @@ def near_embeddings(
     become one node, counted. Spherical k-means (fitted on a bounded sample; about one cell
     per ``cell_rows`` vectors, at most ``most_cells``, which bounds the broadcast table of
     centres) gives every vector its nearest cell; of centres closer than the threshold's
-    angle one stays, so a dense group is one cell. Cells are divided into rings by the angle
-    to the centre, and rings gathered in buckets, inner ones first. A vector visits every
-    earlier bucket that has a ring whose angles lie within the threshold's angle of its own
-    angle to that centre: by the triangle inequality no link is missed, whatever the cells
-    are. Buckets are divided into parts that meet two at a time (matrix products in double
-    precision). Vectors without any clusters are far from all centres alike; there the
-    search is all pairs. NULL, zero and empty vectors and those with
+    angle one stays, so a dense group is one cell. Vectors are compared within cells: those whose home it is with
+    each other, and with those that visit it. A vector visits the earlier ones among its next nearest
+    cells, as many as it takes to find the share ``recall`` of pairs exactly at the threshold,
+    where they are hardest to find; that number is measured on made neighbours of sampled vectors. Nearer pairs are found more
+    surely, and no pair below the threshold is linked. A cell beyond the block size is divided into parts that meet two at a time
+    (matrix products in double precision), all of them, so a hot cell loses nothing. What is shipped for a vector
+    depends on the number of cells, not of rows, until cells outgrow the block size.
+    NULL, zero and empty vectors and those with
     NULL or non-finite components link with nothing, and neither do vectors of different
     dimension; a NULL id has a NULL component and is kept. Rows that repeat an id count as
-    one vector when equal. An empty table gives no rows.
+    one vector when equal, and as several that share links when not. Ties: the least id names a component. Extra columns are ignored. An empty table gives no rows.
     """
     source = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
     single = df.schema[embedding].dataType.simpleString() == "array<float>"
@@ -105,7 +107,7 @@ def near_embeddings(
         unit = nodes.filter(F.col("d") == row["d"]).select("node", "copies", F.col("v").cast(kind).alias("v"))
         cells = int(min(most_cells, max(1, round(row["count"] / cell_rows))))
         centres = fit_cells(unit, cells, sample, rounds, row["count"])
-        part = _linked(unit, centres, threshold, block)
+        part = _linked(unit, _apart(centres, angle_of(threshold)), threshold, block, recall, row["count"])
         found = part if found is None else found.union(part)
     if found is None:
         found = df.sparkSession.createDataFrame([], "node long, links long, root long")
@@ -138,25 +140,29 @@ def _apart(centres: np.ndarray, angle: float) -> np.ndarray:
     return centres[stay]
 
 
-def _angles(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(x @ centres.T, -1.0, 1.0))
+def angle_of(cosine: float) -> float:
+    return float(np.arccos(np.clip(cosine, -1.0, 1.0)))
 
 
-def _buckets(shells: list, side: int) -> tuple[dict, list]:
-    """Bucket of each shell, and the range of angles of each bucket and cell.
+def visits_for(x: np.ndarray, centres: np.ndarray, threshold: float, recall: float) -> int:
+    """How many of its next nearest cells a vector has to try to find ``recall`` of its links.
 
-    ``shells`` has ``cell, ring, rows, low, high``. Inner rings come first; neighbours share a
-    bucket up to ``side`` rows, and a larger shell has one of its own.
+    For every vector of ``x`` neighbours are made at exactly the threshold's angle, in random directions. A pair is
+    found if the one with the later home has the other's home among its tries.
     """
-    place, ranges, bucket, held = {}, {}, 0, 0
-    for r in sorted(shells, key=lambda r: (r["ring"], r["cell"])):
-        if held and held + r["rows"] > side:
-            bucket, held = bucket + 1, 0
-        held += r["rows"]
-        place[r["cell"], r["ring"]] = bucket
-        low, high = ranges.get((bucket, r["cell"]), (np.inf, -np.inf))
-        ranges[bucket, r["cell"]] = (min(low, r["low"]), max(high, r["high"]))
-    return place, [(b, c, low, high) for (b, c), (low, high) in sorted(ranges.items())]
+    rng = np.random.default_rng(29)
+    x = np.repeat(x, 8, axis=0)
+    away = rng.normal(size=x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    size = np.linalg.norm(away, axis=1, keepdims=True)
+    y = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * away / np.maximum(size, 1e-300)
+    to_x, to_y = x @ centres.T, y @ centres.T
+    home_x, home_y = to_x.argmax(axis=1), to_y.argmax(axis=1)
+    later, earlier = np.where((home_x > home_y)[:, None], to_x, to_y), np.minimum(home_x, home_y)
+    # Cells nearer to the later one than the earlier one's home, itself included.
+    rank = (later > later[np.arange(len(x)), earlier][:, None]).sum(axis=1)
+    rank[home_x == home_y] = 0
+    return int(np.quantile(rank, recall, method="higher"))
 
 
 def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -172,60 +178,35 @@ def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
-def _linked(unit: DataFrame, centres: np.ndarray, threshold: float, block: int) -> DataFrame:
+def _linked(
+    unit: DataFrame, centres: np.ndarray, threshold: float, block: int, recall: float, rows: int
+) -> DataFrame:
     """Rows ``node, links, root``: verified links, counted once, and one root per task and node."""
-    angle = float(np.arccos(np.clip(threshold, -1.0, 1.0)))
-    width = max(angle / 4, 0.05)  # of a ring
     side = max(block, min(4 * block, (1 << 22) // centres.shape[1]))  # rows of a part: bounds a task's memory
     context, kind = unit.sparkSession.sparkContext, unit.schema["v"].dataType.simpleString()
-    fixed = context.broadcast(_apart(centres, angle))
+    # At most about 1000 vectors, to measure with.
+    some = thinned(unit, "node", rows, 1000, seed=31).select("v").collect()
+    tries = visits_for(_matrix(pd.Series([r["v"] for r in some])), centres, threshold, recall) if some else 0
+    fixed = context.broadcast(centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            product = _matrix(batch.column("v")) @ fixed.value.T
-            home = product.argmax(axis=1)
-            off = np.arccos(np.clip(product[np.arange(len(home)), home], -1.0, 1.0))
-            added = [pa.array(home.astype(np.int32)), pa.array((off / width).astype(np.int32)), pa.array(off)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *added], ["node", "copies", "v", "cell", "ring", "off"]
-            )
-
-    homes = stage(
-        unit.mapInArrow(assign, f"node long, copies long, v {kind}, cell int, ring int, off double"), "homes"
-    )
-    # One row per cell and ring: bounded by the numbers of centres and rings.
-    shells = homes.groupBy("cell", "ring").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("off").alias("low"), F.max("off").alias("high")
-    )
-    layout = context.broadcast(_buckets(shells.collect(), side))
-
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, ranges = layout.value
-        bucket, cell = (np.array([r[i] for r in ranges], np.int64) for i in (0, 1))
-        low, high = (np.array([r[i] for r in ranges]) for i in (2, 3))
-        low, high = low - angle - 1e-6, high + angle + 1e-6
-        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        step = max(1, (1 << 21) // (len(ranges) + len(fixed.value)))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _matrix(batch.column("v"))
-            keys = zip(batch.column("cell").to_pylist(), batch.column("ring").to_pylist())
-            own = np.array([place[k] for k in keys], np.int64)
-            visits = []
-            for i in range(0, len(x), step):
-                to = _angles(x[i : i + step], fixed.value)[:, cell]
-                meets = np.logical_or.reduceat((to >= low) & (to <= high), starts, axis=1)
-                meets &= np.arange(len(starts)) < own[i : i + step, None]
-                visits += [np.flatnonzero(m).astype(np.int32) for m in meets]
+            x = _matrix(batch.column("v")) if batch.num_rows else np.zeros((0, fixed.value.shape[1]))
+            own, visits = [], []
+            for i in range(0, len(x), 4096):
+                product = x[i : i + 4096] @ fixed.value.T
+                home = product.argmax(axis=1)
+                own.append(home)
+                # Among the nearest cells, those before the own one: each pair of cells meets once.
+                near = np.argpartition(-product, min(tries, product.shape[1] - 1), axis=1)[:, : tries + 1]
+                visits += [np.sort(c[c < h]).astype(np.int32) for c, h in zip(near, home)]
+            own = np.concatenate(own) if own else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(own.astype(np.int32)), pa.array(visits, pa.list_(pa.int32()))],
+                [*batch.columns, pa.array(own.astype(np.int32)), pa.array(visits, pa.list_(pa.int32()))],
                 ["node", "copies", "v", "own", "visits"],
             )
 
-    guests = stage(homes.mapInArrow(visit, f"node long, copies long, v {kind}, own int, visits array<int>"), "visits")
+    guests = stage(unit.mapInArrow(assign, f"node long, copies long, v {kind}, own int, visits array<int>"), "visits")
     seats = F.concat(
         F.array(F.struct(F.col("own").alias("bucket"), F.lit(True).alias("member"))),
         F.transform("visits", lambda b: F.struct(b.alias("bucket"), F.lit(False).alias("member"))),
