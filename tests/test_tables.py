@@ -9,8 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import staging
+from tidemark.operators.history import build_scd2_dimension, history_change
+from tidemark.operators.staging import stage
 from tidemark.plans import incremental, pipeline
 from tidemark.plans.incremental import BuildState, resolve_build_state
+from tidemark.sources import tables
 from tidemark.sources.tables import Lakehouse
 
 
@@ -280,3 +283,35 @@ def test_a_missing_snapshot_is_refused(spark, lake):
     lake.replace_partition(spark.sql("select 1 as customer_id"), "bronze", "customers", "ingest_date", "2024-01-01")
     with pytest.raises(RuntimeError, match="no delivery of customers"):
         pipeline.clean_silver(lake, "2024-01-02", "customers")
+
+
+def test_histories_are_written_by_change(spark, lake, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 10)
+    args = ("id", "sk", ["a"])
+    stamps = [f"2024-0{n}-01 00:00:00" for n in range(1, 6)]
+
+    def snapshot(**changed):
+        data = [(i, changed.get(f"k{i}", "same")) for i in range(100)]
+        return spark.createDataFrame(data, "id int, a string")
+
+    def files():
+        return set(lake.read("gold", "h").inputFiles())
+
+    want = build_scd2_dimension(snapshot(), *args, stamps[0])
+    lake.write_history(want, "gold", "h", "id")
+    assert len(lake.partition_values("gold", "h", tables.SLICE)) == 10
+    steps = [(stamps[1], {"k7": "new"}), (stamps[2], {"k7": "new"}), (stamps[4], {"k7": "newer", "k8": "new"})]
+    for stamp, changed in [*steps, (stamps[3], {"k9": "late"}), (stamps[3], {"k9": "late"})]:
+        later = [(i, stamps[4]) for i in range(100)] if stamp == stamps[3] else []
+        seen = spark.createDataFrame(later, "id int, seen string") if later else None
+        held, before = lake.read("gold", "h"), files()
+        change = history_change(snapshot(**changed), *args, stamp, held, seen)
+        lake.update_history(change.gone, change.rows, "gold", "h", "id", "sk")
+        written = files() - before
+        # A run writes its closed slice and the buckets of the keys that changed.
+        assert len(written) <= 2 * max(1, len(changed)) + (3 if later else 0)
+        if stamp == stamps[2]:
+            assert not written
+        want = stage(build_scd2_dimension(snapshot(**changed), *args, stamp, want, seen), "want")
+        assert rows(lake.read("gold", "h").select(want.columns)) == rows(want)
+    assert lake.read("gold", "h").columns == want.columns

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,35 +83,54 @@ def build_scd2_dimension(
         keyed = assign_keys(snapshot, surrogate_key, [natural_key])
         return _opened(keyed, process_ts).select(*columns)
 
+    change = history_change(source, natural_key, surrogate_key, attributes, process_ts, existing, later)
+    kept = existing.select(*columns).join(change.gone, surrogate_key, "left_anti")
+    return kept.select(*columns).unionByName(change.rows)
+
+
+@dataclass(frozen=True)
+class HistoryChange:
+    """What a snapshot does to a history: numbers of versions that go, and the versions that come.
+
+    A version that is closed goes, and comes back with its end under the same number.
+    """
+
+    gone: DataFrame
+    rows: DataFrame
+
+
+def history_change(
+    source: DataFrame,
+    natural_key: str,
+    surrogate_key: str,
+    attributes: Sequence[str],
+    process_ts: str,
+    existing: DataFrame,
+    later: DataFrame | None = None,
+) -> HistoryChange:
+    """The part of :func:`build_scd2_dimension` that is not as it was; its size follows the changes."""
+    columns = [surrogate_key, natural_key, *attributes, *HISTORY_COLUMNS]
+    snapshot = dedupe_latest(source.select(natural_key, *attributes), [natural_key], attributes)
     existing = existing.select(*columns)
     newest = existing.agg((F.max("effective_from") >= _stamp(process_ts)).alias("late")).first()["late"]
     if newest or later is not None:
         return _inserted(snapshot, natural_key, surrogate_key, attributes, process_ts, existing, later)
-    compared = stage(
-        detect_changes(snapshot, current_rows(existing), natural_key, attributes),
-        f"changes-{surrogate_key}",
-    )
-    closing = F.col("change") == "changed"
-    carried = compared.where(F.isnotnull("held")).select(
-        F.col(f"held.{surrogate_key}").alias(surrogate_key),
-        natural_key,
-        *[F.col(f"held.{a}").alias(a) for a in attributes],
-        F.col("held.effective_from").alias("effective_from"),
-        F.when(closing, _stamp(process_ts)).otherwise(F.col("held.effective_to")).alias("effective_to"),
-        (~closing).alias("is_current"),
+    held = current_rows(existing).select(natural_key, F.struct(*columns).alias("held"))
+    known = F.struct(*(F.col(f"held.{a}").alias(a) for a in attributes))
+    moved = stage(
+        snapshot.select(natural_key, F.struct(*attributes).alias("is"))
+        .join(held, natural_key, "left")
+        .where(F.isnull("held") | ~F.col("is").eqNullSafe(known)),
+        f"moved-{surrogate_key}",
     )
-    versions = compared.where(F.col("change").isin("new", "changed")).select(
-        natural_key, *[F.col(f"incoming.{a}").alias(a) for a in attributes]
+    closed = moved.where(F.isnotnull("held")).select("held.*").withColumns(
+        {"effective_to": _stamp(process_ts), "is_current": F.lit(False)}
     )
+    versions = moved.select(natural_key, *(F.col(f"is.{a}").alias(a) for a in attributes))
     opened = _opened(
-        assign_keys(versions, surrogate_key, [natural_key], max_key(existing, surrogate_key)),
-        process_ts,
-    )
-    return (
-        existing.where("not is_current")
-        .unionByName(carried)
-        .unionByName(opened.select(*columns))
+        assign_keys(versions, surrogate_key, [natural_key], max_key(existing, surrogate_key)), process_ts
     )
+    return HistoryChange(closed.select(surrogate_key), closed.select(*columns).unionByName(opened.select(*columns)))
 
 
 def _inserted(
@@ -121,8 +141,8 @@ def _inserted(
     process_ts: str,
     existing: DataFrame,
     later: DataFrame | None,
-) -> DataFrame:
-    """History with a snapshot put between the versions it has.
+) -> HistoryChange:
+    """What changes when a snapshot is put between the versions of a history.
 
     Versions of the keys concerned are turned back into observations (what was seen, and when), the snapshot
     joins them, and so does the next sighting of each key; equal neighbours are one version again. Keys that
@@ -184,9 +204,7 @@ def _inserted(
         [natural_key, "effective_from"],
         max_key(existing, surrogate_key),
     )
-    untouched = existing.join(moved.select(natural_key), natural_key, "left_anti")
-    return (
-        untouched.select(*columns)
-        .unionByName(rebuilt.where(F.isnotnull(surrogate_key)))
-        .unionByName(numbered.select(*columns))
+    return HistoryChange(
+        versions.select(surrogate_key),
+        rebuilt.where(F.isnotnull(surrogate_key)).select(*columns).unionByName(numbered.select(*columns)),
     )

@@ -35,6 +35,11 @@ CUSTOMER_ATTRIBUTES = (
     "marketing_opt_in",
 )
 PRODUCT_ATTRIBUTES = ("category_key", "product_name", "base_price_usd", "cost_usd")
+# dimension with history: natural key, surrogate key, tracked attributes
+HISTORIES = {
+    "dim_customer": ("customer_id", "customer_key", CUSTOMER_ATTRIBUTES),
+    "dim_product": ("product_id", "product_key", PRODUCT_ATTRIBUTES),
+}
 # ----------------------------------------------------------------------------
 
 
@@ -96,9 +101,7 @@ def dim_customer(
 ) -> DataFrame:
     return build_scd2_dimension(
         customer_attributes(customers, process_date),
-        "customer_id",
-        "customer_key",
-        CUSTOMER_ATTRIBUTES,
+        *HISTORIES["dim_customer"],
         process_ts,
         existing,
         later,
@@ -128,9 +131,7 @@ def dim_product(
 ) -> DataFrame:
     return build_scd2_dimension(
         product_attributes(products, dim_category),
-        "product_id",
-        "product_key",
-        PRODUCT_ATTRIBUTES,
+        *HISTORIES["dim_product"],
         process_ts,
         existing,
         later,

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import format_timestamp
+from tidemark.operators.history import build_scd2_dimension, history_change
 from tidemark.operators.merge import merge_upsert, resolve_surrogates
 from tidemark.operators.staging import stage, staging_run
 from tidemark.plans import bronze, dims, facts, incremental, silver
@@ -27,13 +28,13 @@ GOLD_TABLES = (*DIMENSIONS, *facts.FACTS)
 # A mark per data set, and the snapshots that histories have taken up.
 SOURCE_MARKS = "source_watermarks"
 HISTORY_RUNS = "history_runs"
-HISTORIES = {"dim_customer": ("customers", "customer_id"), "dim_product": ("products", "product_id")}
+HISTORIES = {"dim_customer": "customers", "dim_product": "products"}
 
 # Data sets that every Gold table is built from.
 SOURCES: dict[str, tuple[str, ...]] = {
     "dim_date": tuple(DATASETS),
     **{name: (spec[0],) for name, spec in dims.STATIC_DIMENSIONS.items()},
-    **{name: (source,) for name, (source, _) in HISTORIES.items()},
+    **{name: (source,) for name, source in HISTORIES.items()},
     "fact_order": ("orders", "order_items"),
     "fact_order_item": ("orders", "order_items"),
     "fact_web_event": ("events", "sessions"),
@@ -237,15 +238,16 @@ def _is_late(lake: Lakehouse, table: str, process_date: str) -> bool:
     """Whether a snapshot lies in Bronze that a history with newer ones has not taken up."""
     if table not in HISTORIES:
         return False
-    delivered = lake.partition_values("bronze", HISTORIES[table][0], "ingest_date") or ()
+    delivered = lake.partition_values("bronze", HISTORIES[table], "ingest_date") or ()
     runs = _history_runs(lake, table)
     return process_date in delivered and process_date not in runs and max(runs, default="") > process_date
 
 
-def _history(lake: Lakehouse, table: str, process_date: str, process_ts: str) -> DataFrame:
-    """A dimension with history after one more snapshot, which may be older than others."""
+def _history(lake: Lakehouse, table: str, process_date: str, process_ts: str) -> None:
+    """Bring a dimension with history up to one more snapshot, which may be older than others."""
     existing = lake.read_optional("gold", table)
-    name, key = HISTORIES[table]
+    name = HISTORIES[table]
+    natural, surrogate, attributes = dims.HISTORIES[table]
     rows, later = lake.read("silver", name), None
     after = {day: ts for day, ts in _history_runs(lake, table).items() if day > process_date}
     if existing is not None and after:
@@ -254,10 +256,17 @@ def _history(lake: Lakehouse, table: str, process_date: str, process_ts: str) ->
         delivered = lake.read("bronze", name).where(F.col("ingest_date").isin(*map(date.fromisoformat, after)))
         stamps = F.create_map(*(F.lit(x) for day, ts in after.items() for x in (day, ts)))
         stamp = format_timestamp(stamps[F.col("ingest_date").cast("string")].cast("timestamp_ntz"))
-        later = delivered.select(key, stamp.alias("seen"))
+        later = delivered.select(natural, stamp.alias("seen"))
     if table == "dim_customer":
-        return dims.dim_customer(rows, process_date, process_ts, existing, later)
-    return dims.dim_product(rows, lake.read("gold", "dim_category"), process_ts, existing, later)
+        source = dims.customer_attributes(rows, process_date)
+    else:
+        source = dims.product_attributes(rows, lake.read("gold", "dim_category"))
+    if existing is None:
+        first = build_scd2_dimension(source, natural, surrogate, attributes, process_ts)
+        lake.write_history(first, "gold", table, natural)
+    else:
+        change = history_change(source, natural, surrogate, attributes, process_ts, existing, later)
+        lake.update_history(change.gone, change.rows, "gold", table, natural, surrogate)
 
 
 _REGISTRY = Lock()
@@ -272,12 +281,10 @@ def _keep_run(lake: Lakehouse, table: str, process_date: str, process_ts: str) -
         lake.merge(run, "gold", HISTORY_RUNS, ["table_name", "process_date"])
 
 
-def _dimension(lake: Lakehouse, table: str, process_date: str, process_ts: str) -> DataFrame:
+def _dimension(lake: Lakehouse, table: str) -> DataFrame:
     existing = lake.read_optional("gold", table)
     if table == "dim_date":
         return dims.dim_date(lake.spark)
-    if table in HISTORIES:
-        return _history(lake, table, process_date, process_ts)
     return dims.static_dimension(
         table, lake.read("silver", dims.STATIC_DIMENSIONS[table][0]), existing
     )
@@ -353,10 +360,11 @@ def build_gold(
         state = BuildState(since=process_date)
     if state.skip:
         return state
-    if table in DIMENSIONS:
-        lake.overwrite(_dimension(lake, table, process_date, process_ts), "gold", table)
-        if table in HISTORIES:
-            _keep_run(lake, table, process_date, process_ts)
+    if table in HISTORIES:
+        _history(lake, table, process_date, process_ts)
+        _keep_run(lake, table, process_date, process_ts)
+    elif table in DIMENSIONS:
+        lake.overwrite(_dimension(lake, table), "gold", table)
     else:
         _fact(lake, table, state, by_day)
     return state
