@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -174,8 +175,10 @@ def _solve(rows: DataFrame, model: FourierRidge, ridge: float) -> np.ndarray:
             [pa.array(range(size), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], ["i", "s"]
         )
 
-    # Few tasks: the labelled statistics are small, each task's sum is not.
-    parts = rows.select("x", "label").coalesce(16).mapInArrow(sums, "i int, s array<double>")
+    # A tree of two levels: each task sums several partitions, as many as there are tasks; their sums are added
+    # after a shuffle. The labelled statistics are small, a sum is not.
+    tasks = max(16, math.isqrt(rows.rdd.getNumPartitions()))
+    parts = rows.select("x", "label").coalesce(tasks).mapInArrow(sums, "i int, s array<double>")
     cells = parts.select("i", F.posexplode("s").alias("j", "s")).groupBy("i", "j").agg(F.sum("s").alias("s"))
     whole = np.zeros((size, size + 1))
     for r in cells.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("j", "s"))).alias("row")).collect():
