@@ -11,7 +11,7 @@ from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.substrings import drop_repeats
 from tidemark.llm.toxicity import score_toxicity
-from tidemark.operators.staging import stage
+from tidemark.operators.staging import remove, staging_path, staging_run
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -85,8 +85,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of ``sf_dir``, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages on the documents of ``sf_dir``, each written and read again.
+
+    What a stage staged is deleted once its result is written, and that result once the next one is.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        path = staging_path(spark, name)
+        with staging_run(spark):
+            result = step(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs

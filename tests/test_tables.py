@@ -43,6 +43,16 @@ def test_a_table_can_be_rewritten_from_itself(spark, lake):
     assert not lake.has_rows("gold", "t")
 
 
+def test_superseded_versions_go(spark, lake):
+    path = lake.folder("gold", "t")
+    for n in range(1, 7):
+        lake.overwrite(_frame(spark, [(n, "a", 1)]), "gold", "t")
+        if n == 3:
+            os.makedirs(f"{path}/v4")  # a write that died
+    held = sorted(x for x in os.listdir(path) if x.startswith("v"))
+    assert held == ["v5", "v6", "v7"] and rows(lake.read("gold", "t")) == [(6, "a", 1)]
+
+
 def test_an_unfinished_version_is_not_read(spark, lake):
     lake.overwrite(_frame(spark, [(1, "a", 1)]), "gold", "t")
     os.makedirs(lake.folder("gold", "t") + "/v2")

@@ -76,5 +76,10 @@ def staging_run(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.unset(RUN)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/tidemark/{run}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, f"{staging_root(spark)}/tidemark/{run}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -206,28 +206,30 @@ def order_costs(order_items: DataFrame, dims: Dims) -> DataFrame:
 
 
 def fact_order(orders: DataFrame, order_items: DataFrame, dims: Dims) -> DataFrame:
-    """One row per order. Orders without items keep their whole total as margin."""
+    """One row per order. Orders without items keep their whole total as margin.
+
+    Dimensions that ``dims`` lacks are not looked up, and their keys left out: an outer join cannot be
+    dropped by the optimizer, which does not know that it finds one row at most. ``dim_product`` is needed.
+    """
     rows = orders.join(order_costs(order_items, dims), "order_id", "left")
-    rows = _date_key(attach_dimension(rows, _customer_keys(dims), "customer_id"), dims, "order_date")
+    if "dim_customer" in dims:
+        rows = attach_dimension(rows, _customer_keys(dims), "customer_id")
+    if "dim_date" in dims:
+        rows = _date_key(rows, dims, "order_date")
     for member in ("country", "source", "device", "payment_method"):
-        rows = _member_key(rows, dims, member, member)
+        if f"dim_{member}" in dims:
+            rows = _member_key(rows, dims, member, member)
     rest = F.coalesce(F.col("inexact_cost_usd"), F.lit(0.0))
     cost = F.coalesce(F.col("order_cost_usd"), F.lit(0))
     margin = F.when(rest == 0, money("computed_total") - cost)
     plain = F.col("computed_total") - cost.cast("double") - rest
-    return rows.select(
-        "order_id",
-        "customer_key",
-        "date_key",
-        "country_key",
-        "source_key",
-        "device_key",
-        format_timestamp("order_time").alias("order_time"),
-        "payment_method_key",
-        "discount_pct",
-        F.col("subtotal_usd").alias("gross_revenue_usd"),
-        cents(margin, plain).alias("net_margin_usd"),
-    )
+    built = {
+        "order_time": format_timestamp("order_time"),
+        "gross_revenue_usd": F.col("subtotal_usd"),
+        "net_margin_usd": cents(margin, plain),
+    }
+    wanted = [c for c in FACTS["fact_order"].columns[1:] if c in built or c in rows.columns]
+    return rows.select(*(built.get(c, F.col(c)).alias(c) for c in wanted))
 
 
 def fact_order_item(orders: DataFrame, order_items: DataFrame, dims: Dims) -> DataFrame:

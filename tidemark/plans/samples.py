@@ -83,6 +83,7 @@ class Shop:
         """Dimension tables after this delivery, written out, built at most once."""
         if self.delivery == 3:
             return self.previous.dims(names)
+        names = set(names)
         wanted = set(names)
         if "dim_product" in wanted:
             wanted.add("dim_category")
@@ -109,7 +110,7 @@ class Shop:
                 self.process_ts,
                 held.get("dim_product"),
             )
-        return {n: self._dims[n] for n in wanted}
+        return {n: self._dims[n] for n in names}
 
     def _first_static(self, names: list[str]) -> dict[str, DataFrame]:
         """Static dimensions of a first load: one scan per Silver table they come from."""
@@ -123,9 +124,9 @@ class Shop:
         contracts = {n: (spec[3], spec[2]) for n, spec in dims.STATIC_DIMENSIONS.items() if n in names}
         return build_static_dimensions(reduce(DataFrame.unionByName, values), contracts)
 
-    def fact_rows(self, name: str) -> DataFrame:
-        """Unnumbered rows of a full load."""
-        return FULL[name](self.usable, self.dims(facts.FACTS[name].dimensions))
+    def fact_rows(self, name: str, dimensions: Iterable[str] | None = None) -> DataFrame:
+        """Unnumbered rows of a full load; ``dimensions`` names those that matter."""
+        return FULL[name](self.usable, self.dims(dimensions or facts.FACTS[name].dimensions))
 
     def fact(self, name: str) -> DataFrame:
         """A fact table after a full load."""
