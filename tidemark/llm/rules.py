@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,11 +91,16 @@ NAMES = tuple(FLOORS)
 PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    """Per group: means, and the Cholesky factor of the covariance with its granted spread."""
-    parts = [F.avg(x).alias(f"m{i}") for i, x in enumerate(NAMES)]
+def _sums(rows: DataFrame) -> DataFrame:
+    """Per group: number of rows, means and covariances."""
+    parts = [F.count(F.lit(1)).alias("n")]
+    parts += [F.avg(x).alias(f"m{i}") for i, x in enumerate(NAMES)]
     parts += [F.covar_pop(NAMES[i], NAMES[j]).alias(f"c{i}{j}") for i, j in PAIRS]
-    table = rows.groupBy("g").agg(*parts)
+    return rows.groupBy("g").agg(*parts)
+
+
+def _factored(table: DataFrame) -> DataFrame:
+    """Means, and the Cholesky factor of the covariance with its granted spread."""
     for i, j in PAIRS:
         dot = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
         if i == j:
@@ -102,7 +109,32 @@ def _moments(rows: DataFrame) -> DataFrame:
         else:
             value = (F.col(f"c{i}{j}") - dot) / F.col(f"l{j}{j}")
         table = table.withColumn(f"l{i}{j}", value)
-    return stage(table.drop(*(f"c{i}{j}" for i, j in PAIRS)), "moments")
+    return stage(table.drop("n", *(f"c{i}{j}" for i, j in PAIRS)), "moments")
+
+
+def _leaned(estimates: DataFrame, groups: DataFrame, lean: float, columns: Sequence[str]) -> DataFrame:
+    """Estimates of every group, drawn towards its language's, and those towards the whole table's.
+
+    ``estimates`` has ``g, n`` and ``columns`` for groups, languages and the table, ``groups`` the names ``g, l, a`` of
+    the three. A group of ``n`` rows counts ``n``, what it leans on ``lean``: no size decides anything by itself.
+    """
+    own, of_language, of_all = (
+        estimates.select(F.col("g").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", *columns)))
+        for name in ("g", "l", "a")
+    )
+    joined = groups.join(own, "g").join(of_language, "l").join(of_all, "a")
+
+    def drawn(near: Column, far: Column, n: Column) -> Column:
+        return (n * near + lean * far) / (n + lean)
+
+    return joined.select(
+        "g",
+        F.col("n_g").alias("n"),
+        *(
+            drawn(F.col(f"{c}_g"), drawn(F.col(f"{c}_l"), F.col(f"{c}_a"), F.col("n_l")), F.col("n_g")).alias(c)
+            for c in columns
+        ),
+    )
 
 
 def _distances(rows: DataFrame, moments: DataFrame) -> DataFrame:
@@ -121,15 +153,19 @@ def _central(rows: DataFrame, share: float) -> DataFrame:
     return rows.join(limit, "g").filter("d <= limit").drop("d", "limit")
 
 
-def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 3) -> DataFrame:
+def robust_distances(
+    rows: DataFrame, groups: DataFrame, share: float = 0.75, steps: int = 3, lean: float = 40.0
+) -> DataFrame:
     """Append ``distance``: squared Mahalanobis distance by the group's minimum-covariance-
     determinant estimate.
 
-    ``rows`` has the group ``g`` and the statistics of :data:`FLOORS`. The search starts from
+    ``rows`` has the group ``g``, the statistics of :data:`FLOORS`, and ``judged``: whether the row gets a distance or only
+    has part in an estimate. The search starts from
     the rows nearest to the medians (in units of the median deviations) and takes
-    concentration steps: estimate mean and covariance on the ``share`` of nearest rows,
-    measure all rows again. Each step lowers the determinant. Finally distances are scaled
-    so that their median is that of a chi-square distribution. All estimates are
+    concentration steps: estimate mean and covariance on the ``share`` of nearest rows (ties at the quantile belong to it),
+    measure all rows again. Each step lowers the determinant. The last estimate of a group is drawn towards
+    the ones of its language and the table (``groups``, see :func:`_leaned`). Finally distances are scaled
+    so that their median, drawn likewise, is that of a chi-square distribution. All estimates are
     aggregations per group combined before the shuffle; a group of any size is spread.
     """
     middle = stage(
@@ -151,45 +187,32 @@ def robust_distances(rows: DataFrame, share: float = 0.75, steps: int = 3) -> Da
         F.lit(0.0),
     )
     measured = off.join(spread, "g").withColumn("d", near).select(*rows.columns, "d")
-    for _ in range(steps):
-        moments = _moments(_central(measured, share))
-        measured = _distances(rows, moments)
-    scale = stage(measured.groupBy("g").agg(F.percentile_approx("d", 0.5, 10_000).alias("half")), "scale")
+    for _ in range(steps - 1):
+        measured = _distances(rows, _factored(_sums(_central(measured, share))))
+    columns = [f"m{i}" for i in range(len(NAMES))] + [f"c{i}{j}" for i, j in PAIRS]
+    last = stage(_sums(_central(measured, share)), "estimates")
+    judged = _distances(rows.filter("judged"), _factored(_leaned(last, groups, lean, columns)))
+    judged = judged.join(groups, "g").withColumn("each", F.explode(F.array("g", "l", "a")))
+    half = F.percentile_approx("d", 0.5, 10_000).alias("half")
+    halves = stage(judged.groupBy(F.col("each").alias("g")).agg(F.count(F.lit(1)).alias("n"), half), "scale")
+    scale = stage(_leaned(halves, groups, lean, ["half"]).drop("n"), "scale")
     return (
-        measured.join(scale, "g")
+        judged.filter("each = g")
+        .join(scale, "g")
         .withColumn("distance", F.col("d") / F.greatest(F.col("half") / CHI2_HALF, F.lit(0.25)))
-        .drop("d", "half")
+        .select(*rows.columns, "distance")
     )
 
 
-def _with_estimates(vectors: DataFrame, least_group: int) -> DataFrame:
-    """One row per estimate that a row has part in: ``g`` names it, ``judged`` marks the row's own.
-
-    All rows of a language are part of its estimate if it has a small group, and all rows
-    of the table are part of the widest one if a language is small.
-    """
-    sizes = stage(vectors.groupBy("l", "g").agg(F.count(F.lit(1)).alias("members")), "sizes")
-    languages = sizes.groupBy("l").agg(F.sum("members").alias("all"), F.min("members").alias("least"))
-    languages = languages.withColumn("wide", F.col("least") < least_group)
-    whole = languages.agg(F.coalesce(F.min("all") < least_group, F.lit(False)).alias("whole"))
-    levels = stage(
-        sizes.join(languages, "l")
-        .crossJoin(whole)  # one row
-        .select(
-            "g",
-            F.when(F.col("members") >= least_group, 0).when(F.col("all") >= least_group, 1).otherwise(2).alias("level"),
-            (F.col("wide") & (F.col("all") >= least_group)).alias("wide"),
-            "whole",
-        ),
-        "levels",
-    )
+def _with_estimates(vectors: DataFrame) -> DataFrame:
+    """One row per estimate that a row has part in: its group's, which judges it, its language's and the table's."""
     estimates = F.array(
-        F.when(F.col("level") == 0, F.struct(F.concat(F.lit("s"), F.col("g")).alias("g"), F.lit(True).alias("judged"))),
-        F.when(F.col("wide"), F.struct(F.concat(F.lit("l"), F.col("l")).alias("g"), (F.col("level") == 1).alias("judged"))),
-        F.when(F.col("whole"), F.struct(F.lit("all").alias("g"), (F.col("level") == 2).alias("judged"))),
+        F.struct("g", F.lit(True).alias("judged")),
+        F.struct(F.col("l").alias("g"), F.lit(False).alias("judged")),
+        F.struct(F.col("a").alias("g"), F.lit(False).alias("judged")),
     )
-    placed = vectors.join(levels, "g").withColumn("e", F.explode(F.array_compact(estimates)))
-    kept = [c for c in vectors.columns if c not in ("g", "l")]
+    placed = vectors.withColumn("e", F.explode(estimates))
+    kept = [c for c in vectors.columns if c not in ("g", "l", "a")]
     return placed.select(*kept, "e.g", "e.judged")
 
 
@@ -200,24 +223,27 @@ def quality_rules(
     lang: str = "lang",
     source: str = "source",
     cut: float = 80.0,
-    least_group: int = 40,
+    lean: float = 40.0,
 ) -> DataFrame:
     """Base statistics of every whole text, base rules, and the outlier verdict.
 
     Returns ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, distance``. Estimates are made per language and source from the rows
     that pass the base rules; a row is rejected when its squared robust distance exceeds
-    ``cut``. Five statistics cannot be estimated from a group of fewer than ``least_group``
-    such rows: these are judged by the estimate of their language over all sources, or, if
-    that has too few as well, by that of the whole table. NULL languages and sources form groups of their own; NULL
+    ``cut``. The estimate of a group of ``n`` such rows is drawn towards the one of its language over all
+    sources, and that towards the one of the whole table, with the weight of ``lean`` rows: small groups are
+    judged by wider estimates, large ones by their own, and one more row changes little at any size.
+    NULL languages and sources form groups of their own; NULL
     and empty texts have no words and fail the base rules. Rows that repeat an id are judged
-    each; an empty table gives no rows.
+    each; extra columns are ignored; an empty table gives no rows.
     """
     group = [F.coalesce(F.concat(F.lit("v"), F.col(c)), F.lit("n")) for c in (lang, source)]
     counted = df.select(
         F.col(doc_id).alias("doc_id"),
-        group[0].alias("l"),
-        F.concat_ws("\u0001", *group).alias("g"),
+        # Names of the estimates: of the table, of languages, of languages and sources.
+        F.lit("a").alias("a"),
+        F.concat(F.lit("l"), group[0]).alias("l"),
+        F.concat(F.lit("s"), F.concat_ws("\u0001", *group)).alias("g"),
         *(c.alias(n) for n, c in base_statistics(F.col(text)).items()),
     )
     rows = stage(
@@ -236,7 +262,8 @@ def quality_rules(
         F.sqrt(F.col("n_dup_lines") * 10 / words).alias("repeated_lines"),
         F.sqrt(F.col("n_repeat_words") / words).alias("repeated_words"),
     )
-    judged = robust_distances(_with_estimates(vectors, least_group)).filter("judged")
+    groups = stage(vectors.select("g", "l", "a").distinct(), "groups")
+    judged = robust_distances(_with_estimates(vectors), groups, lean=lean)
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     kept = F.col("distance") <= cut
     failed = rows.filter("base_failed").select(
