@@ -92,7 +92,7 @@ def test_cells_blocks_and_leaves_lose_no_pair(spark, monkeypatch, cell_bytes, le
 
 def test_empty_table(docs):
     assert spelling_variants(docs.limit(0)).collect() == []
-    assert spelling_variants(docs.filter("doc_id in (5, 6)")).collect() == []
+    assert spelling_variants(docs.filter("text in ('', 'one two') or text is null")).collect() == []
 
 
 def test_one_edit_is_exact():
