@@ -386,6 +386,19 @@ def test_mix_meets_its_targets(spark, sample):
         assert abs(taken[r.source] - r.target) <= max(1.0, 0.01 * r.target)
 
 
+def test_rows_under_one_id_spread_over_the_buckets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANKED_ROWS", 8)
+    staged, write = {}, mixing.stage
+    monkeypatch.setattr(mixing, "stage", lambda df, label: staged.setdefault(label, write(df, label)))
+    rows = [(None, f"w{i} x y", "a") for i in range(300)] + [(7, f"v{i} x y z", "b") for i in range(300)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    held = staged["placed"].filter("bucket is not null").groupBy("rank", "bucket").count().collect()
+    assert held and max(r["count"] for r in held) <= 40
+    for name in "ab":
+        of = [r for r in got if r.source == name]
+        assert abs(sum(r.taken for r in of) - of[0].target) <= 4
+
+
 def test_rules_equal_brute_force(spark, sample, docs):
     def counts(text):
         words = re.findall(r"[^\x20\x09-\x0D]+", text or "")

@@ -99,7 +99,7 @@ def mix_sources(
     (words), ``source_size, target`` (of its source), ``copies`` (0 to 3) and ``taken``
     (``size * copies``). Every target is fitted by :func:`fit_budget` to the counts of
     documents by exact length. What a length is to give is dealt evenly to its documents;
-    those that give one copy more are chosen in the order of a seeded hash of their id, so
+    those that give one copy more are chosen in the order of a seeded hash of their id and text, so
     reruns agree.
 
     Only one row per source (totals) reaches the driver; lengths are fitted in one task per
@@ -138,7 +138,8 @@ def mix_sources(
 
     form = "rank int, size long, n long, whole int, picked long"
     fitted = stage(counts.groupBy("rank").applyInPandas(fit, form), "fitted")
-    order = F.xxhash64("doc_id", F.lit(seed))
+    # By id and text: rows without an id, or under one repeated id, spread over the buckets of their length too.
+    order = F.xxhash64("doc_id", "version", F.lit(seed))
     unit = order.cast("double") / float(2**64) + 0.5
     buckets = F.ceil(F.col("n") / RANKED_ROWS)
     placed = stage(
