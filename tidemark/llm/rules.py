@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD
@@ -91,12 +91,21 @@ NAMES = tuple(FLOORS)
 PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
 
 
+def _grouped(rows: DataFrame) -> GroupedData:
+    """Rows by ``g``, combined in every task before they move.
+
+    Behind a join on ``g`` Spark would aggregate where the join has put the rows, and the whole table's estimate
+    takes all of them; another expression of ``g`` keeps it from that.
+    """
+    return rows.groupBy(F.concat("g", F.lit("")).alias("g"))
+
+
 def _sums(rows: DataFrame) -> DataFrame:
     """Per group: number of rows, means and covariances."""
     parts = [F.count(F.lit(1)).alias("n")]
     parts += [F.avg(x).alias(f"m{i}") for i, x in enumerate(NAMES)]
     parts += [F.covar_pop(NAMES[i], NAMES[j]).alias(f"c{i}{j}") for i, j in PAIRS]
-    return rows.groupBy("g").agg(*parts)
+    return _grouped(rows).agg(*parts)
 
 
 def _factored(table: DataFrame) -> DataFrame:
@@ -149,7 +158,7 @@ def _distances(rows: DataFrame, moments: DataFrame) -> DataFrame:
 
 def _central(rows: DataFrame, share: float) -> DataFrame:
     """Rows no farther than the group's ``share`` quantile of ``d``."""
-    limit = stage(rows.groupBy("g").agg(F.percentile_approx("d", share, 10_000).alias("limit")), "limit")
+    limit = stage(_grouped(rows).agg(F.percentile_approx("d", share, 10_000).alias("limit")), "limit")
     return rows.join(limit, "g").filter("d <= limit").drop("d", "limit")
 
 
@@ -174,7 +183,7 @@ def robust_distances(
     )
     off = rows.join(middle, "g")
     spread = stage(
-        off.groupBy("g").agg(
+        _grouped(off).agg(
             *(F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10_000).alias(f"s{i}") for i, x in enumerate(NAMES))
         ),
         "deviations",
