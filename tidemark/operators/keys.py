@@ -52,6 +52,7 @@ def number_rows(rows: DataFrame, key: str, order: Sequence[str], start_at: int =
     placed = place_by_range(rows.select("_row", *order), order, f"keys-{key}")
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    before = stage(before, f"offsets-{key}")
     return placed.join(before, "_part").select("_row", (F.col("_place") + F.col("_before") + start_at + 1).alias(key))
 
 

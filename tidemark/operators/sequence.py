@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import place_by_range
+from tidemark.operators.staging import stage
 
 
 def next_in_group(
@@ -25,6 +26,7 @@ def next_in_group(
     following = placed.where("_place = 0").select(
         "_part", F.lead(pair).over(Window.orderBy("_part")).alias("_after")
     )
+    following = stage(following, f"following-{group}")
     reached = placed.withColumn("_next", F.lead(pair).over(inside)).join(following, "_part", "left")
     following_row = F.coalesce("_next", "_after")
     return reached.withColumn(

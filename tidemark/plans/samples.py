@@ -110,6 +110,9 @@ class Shop:
                 self.process_ts,
                 held.get("dim_product"),
             )
+        for n in missing - {"dim_date"}:
+            # Read from written tables, facts know how large they are.
+            self._dims[n] = stage(self._dims[n], n)
         return {n: self._dims[n] for n in names}
 
     def _first_static(self, names: list[str]) -> dict[str, DataFrame]:
