@@ -12,6 +12,7 @@ from tidemark.operators.merge import merge_upsert
 from tidemark.operators.staging import stage
 from tidemark.plans import dims, facts, incremental, pipeline
 from tidemark.plans.samples import Shop
+from tidemark.sources.datasets import dataset
 from tidemark.sources.tables import Lakehouse
 
 
@@ -107,3 +108,12 @@ def test_dates_outside_the_calendar_have_no_key(spark):
 def test_dimension_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "v string")
     assert build_static_dimension(empty, "v", "k").collect() == []
+
+
+@pytest.mark.parametrize("delivery", [1, 2, 3])
+def test_marks_read_keys_and_days_of_silver(spark, sample, delivery):
+    shop = Shop(spark, sample, delivery)
+    for name in ("order_items", "events", "customers"):
+        days = shop.silver_days(name)
+        assert days.columns == [*dataset(name).keys, "processed_date"]
+        assert sorted(days.collect()) == sorted(shop.silver(name).select(*days.columns).collect())
