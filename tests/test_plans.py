@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import keys
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.operators.dimensions import build_static_dimension
 from tidemark.operators.lookup import attach_dimension_key
@@ -117,3 +118,28 @@ def test_marks_read_keys_and_days_of_silver(spark, sample, delivery):
         days = shop.silver_days(name)
         assert days.columns == [*dataset(name).keys, "processed_date"]
         assert sorted(days.collect()) == sorted(shop.silver(name).select(*days.columns).collect())
+
+
+def test_numbering_writes_rows_once(spark, monkeypatch):
+    labels = []
+    monkeypatch.setattr(keys, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    numbered = keys.assign_keys(spark.range(9).selectExpr("9 - id as a", "id as b"), "k", ["a"])
+    assert sorted(numbered.collect()) == [(i + 1, i + 1, 8 - i) for i in range(9)]
+    assert labels == ["rows-k", "offsets-k"]
+
+
+def test_silver_items_move_without_what_follows_from_them(spark, sample):
+    text = plan(Shop(spark, sample).silver("order_items"))
+    limits = [line for line in text.splitlines() if "Window" in line]
+    assert limits and not any("record_id" in line or "computed_line_total" in line for line in limits)
+
+
+def test_item_increments_take_touched_items_once(spark, sample, monkeypatch):
+    staged = []
+    monkeypatch.setattr(incremental, "stage", lambda df, label: staged.append(stage(df, label)) or staged[-1])
+    shop = Shop(spark, sample, 2, stored=True)
+    delta = shop.fact_delta("fact_order_item", None)
+    assert [tuple(t.columns) for t in staged] == [incremental.ITEM_COLUMNS]
+    touched = set(staged[0].select("order_id", "product_id").collect())
+    assert touched == set(delta.scope.collect()) and 0 < len(touched)
+    assert set(delta.rows.select("order_id", "product_id").collect()) <= touched
