@@ -11,7 +11,7 @@ from tidemark.operators.dimensions import build_static_dimension
 from tidemark.operators.lookup import attach_dimension_key
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.staging import stage
-from tidemark.plans import dims, facts, incremental, pipeline
+from tidemark.plans import bronze, dims, facts, incremental, pipeline, silver
 from tidemark.plans.samples import Shop
 from tidemark.sources.datasets import dataset
 from tidemark.sources.tables import Lakehouse
@@ -143,3 +143,29 @@ def test_item_increments_take_touched_items_once(spark, sample, monkeypatch):
     touched = set(staged[0].select("order_id", "product_id").collect())
     assert touched == set(delta.scope.collect()) and 0 < len(touched)
     assert set(delta.rows.select("order_id", "product_id").collect()) <= touched
+
+
+@pytest.mark.parametrize("name", ["orders", "sessions"])
+def test_silver_rows_move_without_codes_and_amounts(spark, sample, name):
+    text = plan(Shop(spark, sample).silver(name))
+    limits = [line for line in text.splitlines() if "Window" in line]
+    assert limits and not any("validation_" in line or "computed_" in line for line in limits)
+
+
+@pytest.mark.parametrize("name", ["customers", "orders", "sessions"])
+def test_rows_that_differ_in_gaps_rank_as_by_their_warnings(spark, sample, name):
+    spec = dataset(name)
+    shop = Shop(spark, sample)
+    some = shop.source(name).orderBy(*spec.keys).limit(8)
+    copies = some
+    for c in spec.unknown:
+        copies = copies.drop(c).crossJoin(spark.createDataFrame([("Unknown",), ("  ",), (None,)], f"{c} string"))
+    # Every key lacks other gaps, so that every pair of them meets somewhere.
+    dealt = copies.where(F.pmod(F.xxhash64(*spec.keys, *spec.unknown), F.lit(3)) > 0).select(*some.columns)
+    rows = bronze.valid_records(bronze.to_bronze(dealt, name, "2024-01-31")).drop(*bronze.RECORD_COLUMNS)
+    checked = silver._checked(silver._typed(rows, name), name, "2024-01-31")
+    best = dedupe_latest(checked, spec.keys, spec.priority)
+    found = silver.to_silver(bronze.to_bronze(dealt, name, "2024-01-31"), name, "2024-01-31")
+    shown = [c for c in best.columns if c not in bronze.BRONZE_METADATA]
+    assert sorted(found.select(*shown).collect(), key=str) == sorted(best.select(*shown).collect(), key=str)
+    assert found.columns[: len(shown)] == shown
