@@ -11,7 +11,7 @@ from tidemark.operators.dimensions import build_static_dimension
 from tidemark.operators.lookup import attach_dimension_key
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.staging import stage
-from tidemark.plans import bronze, dims, facts, incremental, pipeline, silver
+from tidemark.plans import bronze, dims, facts, incremental, pipeline, samples, silver
 from tidemark.plans.samples import Shop
 from tidemark.sources.datasets import dataset
 from tidemark.sources.tables import Lakehouse
@@ -169,3 +169,19 @@ def test_rows_that_differ_in_gaps_rank_as_by_their_warnings(spark, sample, name)
     shown = [c for c in best.columns if c not in bronze.BRONZE_METADATA]
     assert sorted(found.select(*shown).collect(), key=str) == sorted(best.select(*shown).collect(), key=str)
     assert found.columns[: len(shown)] == shown
+
+
+def test_orders_are_numbered_by_their_keys_alone(spark, sample, monkeypatch):
+    spread = {}
+    monkeypatch.setattr(keys, "stage", lambda df, label: spread.setdefault(label, df.columns) and stage(df, label))
+    shop = Shop(spark, sample, 1, stored=True, reads=incremental.READS["fact_order"])
+    fact = shop.fact("fact_order")
+    assert spread["rows-order_key"] == ["order_id", "_part", "_place"]
+    assert sorted(fact.collect()) == sorted(facts.numbered("fact_order", shop.fact_rows("fact_order")).collect())
+
+
+def test_increments_write_the_columns_they_read(spark, sample, monkeypatch):
+    written = {}
+    monkeypatch.setattr(samples, "stage", lambda df, label: written.setdefault(label, df.columns) and stage(df, label))
+    Shop(spark, sample, 3, stored=True, reads=incremental.READS["fact_order"]).silver("order_items")
+    assert written["silver-order_items"] == ["order_id", "product_id", "quantity", "validation_errors", "processed_date"]
