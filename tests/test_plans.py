@@ -185,3 +185,15 @@ def test_increments_write_the_columns_they_read(spark, sample, monkeypatch):
     monkeypatch.setattr(samples, "stage", lambda df, label: written.setdefault(label, df.columns) and stage(df, label))
     Shop(spark, sample, 3, stored=True, reads=incremental.READS["fact_order"]).silver("order_items")
     assert written["silver-order_items"] == ["order_id", "product_id", "quantity", "validation_errors", "processed_date"]
+
+
+def test_only_items_of_bought_orders_are_deduplicated(spark, sample, monkeypatch):
+    ranked = []
+    monkeypatch.setattr(silver, "dedupe_latest", lambda df, *args: ranked.append(df) or dedupe_latest(df, *args))
+    monkeypatch.setattr(facts, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    staged = {}
+    Shop(spark, sample).fact_rows("fact_customer_funnel")
+    items = [df for df in ranked if {"order_id", "product_id"} <= set(df.columns)]
+    bought = set(staged["bought-orders"].select("order_id").collect())
+    assert len(items) == 1 and 0 < len(bought) < Shop(spark, sample).source("orders").count() / 2
+    assert set(items[0].select("order_id").collect()) <= bought
