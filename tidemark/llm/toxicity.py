@@ -6,7 +6,6 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,6 +20,8 @@ BETWEEN = re.compile(r"\W")
 BIAS = np.int64(0)
 # Texts are read in stretches of about so many characters, which bounds the memory of a very long text.
 STRETCH = 1 << 20
+# Grams that are numbered at once, and coordinates whose weights are taken at once.
+BLOCK = 1 << 18
 
 
 def gram_hashes(text: str) -> Iterator[np.ndarray]:
@@ -72,13 +73,61 @@ class SparseWeights:
         return float(1 / (1 + np.exp(-np.clip(total, -35, 35))))
 
 
+class Texts(Sequence):
+    """Values of an Arrow column in a given order, decoded one at a time."""
+
+    def __init__(self, column: pa.ChunkedArray, order: np.ndarray):
+        self.column, self.order = column, order
+
+    def __len__(self) -> int:
+        return len(self.order)
+
+    def __getitem__(self, i: int) -> str | None:
+        return self.column[int(self.order[i])].as_py()
+
+
+class Numbering:
+    """Numbers up to ``most`` grams in the order in which blocks of them come."""
+
+    def __init__(self, most: int):
+        # Only pages in use take memory.
+        self.hashes, self.numbers, self.count = np.empty(most + 1, np.int64), np.empty(most + 1, np.int32), 1
+        self.hashes[0], self.numbers[0] = BIAS, 0
+
+    @property
+    def names(self) -> np.ndarray:
+        return self.hashes[: self.count]
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        fresh = np.unique(grams)
+        fresh = fresh[self.names[np.minimum(np.searchsorted(self.names, fresh), self.count - 1)] != fresh]
+        at = np.searchsorted(self.names, fresh) + np.arange(len(fresh))
+        # From the end on, names make room where they are: a second table is not needed.
+        for stop in range(self.count, 0, -BLOCK):
+            start = max(0, stop - BLOCK)
+            names, numbers = self.hashes[start:stop].copy(), self.numbers[start:stop].copy()
+            to = np.searchsorted(fresh, names) + np.arange(start, stop)
+            self.hashes[to], self.numbers[to] = names, numbers
+        self.hashes[at] = fresh
+        self.numbers[at] = np.arange(self.count, self.count + len(fresh))
+        self.count += len(fresh)
+        return self.numbers[np.searchsorted(self.names, grams)]
+
+    def places(self) -> np.ndarray:
+        """The place among the sorted names of each number."""
+        places = np.empty(self.count, np.int32)
+        places[self.numbers[: self.count]] = np.arange(self.count, dtype=np.int32)
+        return places
+
+
 def admitted(texts: Sequence[str | None], least: int = 2, bits: int = 24) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The grams that (but for chance) ``least`` of the texts hold: ``names, at, ends``.
 
     ``names`` are their sorted hashes and that of the bias; text ``i`` holds those at the
     places ``at[ends[i]:ends[i + 1]]``. Texts are read twice, first to count grams by the low
     bits of their hashes in one small table, so memory follows the admitted grams, in flat
-    arrays, and not the number of different ones.
+    arrays, and not the number of different ones. Hashes are numbered by blocks, so that a
+    gram of a text takes 4 bytes, not the 8 of its hash and more to sort them.
     """
     mask, seen, most = (1 << bits) - 1, np.zeros(1 << bits, np.uint8), 0
     for t in texts:
@@ -86,20 +135,20 @@ def admitted(texts: Sequence[str | None], least: int = 2, bits: int = 24) -> tup
         low = np.unique(grams & mask)
         seen[low] += seen[low] < 255
         most += len(grams)
-    held, ends = np.empty(most, np.int64), np.zeros(len(texts) + 1, np.int64)  # only pages in use take memory
+    at, ends = np.empty(most, np.int32), np.zeros(len(texts) + 1, np.int64)  # only pages in use take memory
+    numbering, block, start = Numbering(most), [], 0
     for i, t in enumerate(texts):
         grams = features(t or "")
-        grams = grams[seen[grams & mask] >= least]
-        ends[i + 1] = ends[i] + len(grams)
-        held[ends[i] : ends[i + 1]] = grams
-    held = held[: ends[-1]]
-    names = np.append(held, BIAS)
-    names.sort()
-    names = names[np.append(True, names[1:] != names[:-1])]
-    at = np.empty(len(held), np.int32)
-    for i, j in zip(ends[:-1], ends[1:]):
-        at[i:j] = np.searchsorted(names, held[i:j])
-    return names, at, ends
+        block.append(grams[seen[grams & mask] >= least])
+        ends[i + 1] = ends[i] + len(block[-1])
+        # Blocks grow with the names, which move once a block.
+        if ends[i + 1] - start >= max(BLOCK, numbering.count // 8) or i + 1 == len(texts):
+            at[start : ends[i + 1]] = numbering.of(np.concatenate(block))
+            block, start = [], ends[i + 1]
+    at, places = at[: ends[-1]], numbering.places()
+    for i in range(0, len(at), BLOCK):
+        at[i : i + BLOCK] = places[at[i : i + BLOCK]]
+    return numbering.names, at, ends
 
 
 def train(
@@ -127,22 +176,22 @@ def train(
         return {}
     sample = rows.join(F.broadcast(stage(chosen, "chosen")), F.col("doc_id") == F.col("id"))
 
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("h", kind="stable")
-        names, at, ends = admitted(group["text"].tolist())
+    def fit(group: pa.Table) -> pa.Table:
+        order = np.argsort(group["h"].to_numpy(), kind="stable")
+        names, at, ends = admitted(Texts(group["text"], order))
         bias = np.int32(np.searchsorted(names, BIAS))
         model = Ftrl(len(names), 1, rates)
-        target = group["label"].to_numpy(np.float64)
+        target = group["label"].to_numpy()[order].astype(np.float64)
         for epoch in range(epochs):
             for i in np.random.default_rng(epoch).permutation(len(target)):
                 grams = np.append(at[ends[i] : ends[i + 1]], bias)
                 model.learn(grams, np.ones(len(grams)), target[i : i + 1])
-        w = model.weights()[:, 0]
+        w = np.concatenate([model.weights(slice(i, i + BLOCK))[:, 0] for i in range(0, len(names), BLOCK)])
         used = np.flatnonzero(w)
-        return pd.DataFrame({"h": names[used], "w": w[used]})
+        return pa.table({"h": names[used], "w": w[used]})
 
     dealt = sample.select("text", "label", F.xxhash64("doc_id", F.lit(29)).alias("h"))
-    found = dealt.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(fit, "h long, w double")
+    found = dealt.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(fit, "h long, w double")
     return {r["h"]: r["w"] for r in found.collect()}
 
 
