@@ -152,6 +152,18 @@ def test_known_business_keys_keep_their_surrogates(spark):
     assert rows(again) == rows(merged)
 
 
+def test_upsert_retracts_a_scope_beside_the_key(spark):
+    target = _table(spark, [(7, 1, "a"), (8, 2, "b"), (9, 3, "b"), (6, 4, None), (5, None, "b")], "sk bigint, k int, v string")
+    sent = _table(spark, [(2, "b"), (5, "b"), (1, "c")])
+    # Scopes may repeat themselves; NULLs in scope or key match nothing.
+    scope = _table(spark, [("b",), ("b",), ("c",), (None,)], "v string")
+    merged = merge_preserving_keys(target, sent, ["k"], "sk", scope)
+    assert rows(merged) == [(10, 5, "b"), (5, None, "b"), (6, 4, None), (7, 1, "c"), (8, 2, "b")]
+    assert rows(merge_preserving_keys(target, sent.limit(0), ["k"], "sk", scope)) == [
+        (5, None, "b"), (6, 4, None), (7, 1, "a")
+    ]
+
+
 @few
 @given(
     st.dictionaries(st.integers(0, 9), st.text("ab", max_size=2)),

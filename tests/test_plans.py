@@ -9,7 +9,7 @@ from tidemark.operators import keys
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.operators.dimensions import build_static_dimension
 from tidemark.operators.lookup import attach_dimension_key
-from tidemark.operators.merge import merge_upsert
+from tidemark.operators.merge import merge_preserving_keys, merge_upsert
 from tidemark.operators.staging import stage
 from tidemark.plans import bronze, dims, facts, incremental, pipeline, samples, silver
 from tidemark.plans.samples import Shop
@@ -73,6 +73,21 @@ def test_small_upserts_do_not_move_the_target(spark):
     assert "BroadcastHashJoin" in text and "LeftAnti" in text and "hashpartitioning" not in text
 
 
+def test_scopes_and_numbers_are_met_once(spark):
+    target = stage(spark.range(1000).selectExpr("id as sk", "id", "id % 9 as g"))
+    source = stage(spark.range(5).selectExpr("id", "id % 2 as g"))
+    text = plan(merge_preserving_keys(target, source, ["id"], "sk", stage(spark.range(2).selectExpr("id as g"))))
+    # The target meets keys and scope; incoming rows meet their numbers once, where they are returned.
+    assert text.count("LeftAnti") == 2 and "LeftSemi" not in text and text.count("_row") and text.count("Inner") == 2
+
+
+def test_touched_sessions_are_written(spark, sample):
+    shop = Shop(spark, sample, 2, stored=True, reads=incremental.READS["fact_web_event"])
+    held = stage(shop.previous.fact("fact_web_event"))
+    scope = plan(shop.fact_delta("fact_web_event", held).scope)
+    assert scope.count("FileScan") == 1 and "Join" not in scope
+
+
 def test_filters_reach_the_stored_tables(spark, sample, tmp_path):
     lake = Lakehouse(spark, str(tmp_path / "lake"))
     shop = Shop(spark, sample, 1)
