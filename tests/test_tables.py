@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,6 +188,32 @@ def test_tables_of_a_run_are_deleted_at_its_end(spark):
     assert spark.conf.get(staging.RUN, None) is None
 
 
+def test_a_run_frees_the_disk_of_finished_steps(spark, tmp_path):
+    """Staged tables go with their step, shuffle files with their query."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = disk.getAllBlocks().mkString(" ").split()
+        return {b for b in blocks if b.startswith("shuffle_")}
+
+    setting, before = spark.conf.get(staging.CLEANUP), shuffled()
+    with staging.staging_run(spark):
+        with staging.staging_step(spark):
+            with staging.staging_step(spark):
+                inside = staging.stage(spark.range(100).repartition(3, "id"))
+            (file,) = {os.path.dirname(f.removeprefix("file://")) for f in inside.inputFiles()}
+            assert inside.count() == 100
+        assert not os.path.exists(os.path.dirname(file))
+        spark.range(100).repartition(3, "id").write.parquet(str(tmp_path / "t"))
+        for _ in range(50):
+            if not shuffled() - before:
+                break
+            time.sleep(0.1)
+        assert not shuffled() - before
+        assert os.path.exists(staging.stage(spark.range(1)).inputFiles()[0].removeprefix("file://"))
+    assert spark.conf.get(staging.CLEANUP) == setting
+
+
 def test_partition_values_come_from_the_listing(spark, lake):
     assert lake.partition_values("silver", "t", "p") is None
     lake.overwrite(_frame(spark, [(1, "a", 10), (2, "b", 20)]), "silver", "t", "p")
@@ -289,6 +316,43 @@ def test_replays_change_nothing(spark, lake):
     assert sorted(map(str, lake.read("silver", "t").collect())) == before
 
 
+def test_ordered_merges_write_rows_that_stay_once(spark, lake, monkeypatch):
+    """They are not staged on the way; partitions that lose their last row go, others are left as they are."""
+    labels = []
+    monkeypatch.setattr(tables, "stage", lambda df, label: labels.append(label) or stage(df, label))
+
+    def deliver(day, data, schema="k int, v string"):
+        df = spark.createDataFrame(data, schema).selectExpr("k", "v", f"date'{day}' as d", *(["w"] if "w" in schema else []))
+        lake.merge(df, "silver", "t", ["k"], "d", False, True, ordered_value=day)
+
+    deliver("2024-01-01", [(1, "a"), (2, "b"), (None, "n")])
+    deliver("2024-01-02", [(3, "c")])
+    deliver("2024-01-03", [(4, "d"), (5, "e")])
+    deliver("2024-01-04", [(6, "f")])
+    folder = lake.location("silver", "t")
+    untouched = os.listdir(f"{folder}/d=2024-01-04")
+    for _ in range(2):
+        deliver("2024-01-05", [(1, "A", 7), (3, "C", 8), (4, "D", 9)], "k int, v string, w int")
+    assert rows(lake.read("silver", "t").selectExpr("k", "v", "day(d)", "w")) == [
+        (1, "A", 5, 7), (2, "b", 1, None), (3, "C", 5, 8), (4, "D", 5, 9), (5, "e", 3, None), (6, "f", 4, None), (None, "n", 1, None)
+    ]
+    assert not os.path.exists(f"{folder}/d=2024-01-02") and os.listdir(f"{folder}/d=2024-01-04") == untouched
+    # A source that lacks a column leaves it as it is.
+    deliver("2024-01-06", [(1, "a6"), (2, "b6")])
+    assert rows(lake.read("silver", "t").where("k < 3").selectExpr("k", "v", "day(d)", "w")) == [(1, "a6", 6, 7), (2, "b6", 6, None)]
+    assert labels.count("merge-partitions") == 1 and set(labels) == {"merge-incoming", "merge-partitions"}
+
+
+def test_a_delivery_is_computed_once(spark, lake, monkeypatch):
+    first = spark.sql("select 1 as k")
+    lake.replace_partition(first, "bronze", "t", "d", "2024-01-01")
+    lake.replace_partition(first, "bronze", "t", "d", "2024-01-02")
+    monkeypatch.setattr(type(first), "isEmpty", lambda self: pytest.fail("the delivery was computed to see whether it has rows"))
+    lake.replace_partition(spark.sql("select 2 as k"), "bronze", "t", "d", "2024-01-02")
+    lake.replace_partition(first.limit(0), "bronze", "t", "d", "2024-01-01")
+    assert rows(lake.read("bronze", "t")) == [(2, dt.date(2024, 1, 2))]
+
+
 def test_a_missing_snapshot_is_refused(spark, lake):
     lake.replace_partition(spark.sql("select 1 as customer_id"), "bronze", "customers", "ingest_date", "2024-01-01")
     with pytest.raises(RuntimeError, match="no delivery of customers"):
